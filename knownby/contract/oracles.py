@@ -84,7 +84,7 @@ _CTES: dict[str, tuple[list[str], str]] = {
     "ttm": (["latest4", "seen"], "SELECT cik, known_day AS f_date, " + _cols(
         "CASE WHEN n = 4 AND span BETWEEN 265 AND 285 AND {n}_seen THEN {n}_sum END AS {n}_ttm",
         TTM_TAGS) + " FROM (SELECT cik, known_day, count(*) AS n, max(e_date) - min(e_date) AS span, "
-        + _cols("coalesce(sum({n}), 0) AS {n}_sum", TTM_TAGS)
+        + _cols("coalesce(sum({n} ORDER BY e_date DESC), 0) AS {n}_sum", TTM_TAGS)
         + " FROM latest4 GROUP BY cik, known_day) JOIN seen USING (cik, known_day)"),
     "filings": (["snapshot", "ttm"], "SELECT cik, f_date, " + _cols("s.{n}", _SNAPSHOT) + ", "
                 + _cols("coalesce(s.{n}_fy, t.{n}_ttm) AS {n}_ttm", TTM_TAGS)
@@ -138,8 +138,6 @@ _CTES: dict[str, tuple[list[str], str]] = {
         FROM fx_meta"""),
 }
 
-_TEXT = {"ticker", "cik", "p_date", "sector", "industry"}
-
 
 def _query(body: str, *needs: str) -> str:
     wanted: set[str] = set()
@@ -156,12 +154,8 @@ def _query(body: str, *needs: str) -> str:
     return f"WITH {ctes} {body}" if ctes else body
 
 
-def _round(names: list[str]) -> str:
-    return _cols("round({n}, 4) AS {n}", names)
-
-
 _MATRIX_SELECT = "permaTicker, " + ", ".join(
-    c if c in _TEXT else f"round({c}, 4) AS {c}" for c in MATRIX_COLUMNS)
+    "round(adv_20d, 1) AS adv_20d" if c == "adv_20d" else c for c in MATRIX_COLUMNS)
 
 
 def _performance(annual: bool) -> str:
@@ -169,7 +163,7 @@ def _performance(annual: bool) -> str:
     names = ", ".join(f"'{t}'" for t in tags)
     older = "lead(revenue, {k}) OVER (PARTITION BY permaTicker ORDER BY end_date DESC)"
     growth = ", ".join(
-        f"coalesce(round(nullif(revenue, 0) / nullif({older.format(k=k)}, 0) - 1, 4), 0) AS {name}"
+        f"coalesce(nullif(revenue, 0) / nullif({older.format(k=k)}, 0) - 1, 0) AS {name}"
         for k, name in ((1, "growth_prev"), (4, "growth_4")))
     return _query(f"""
         , periods AS (
@@ -182,11 +176,10 @@ def _performance(annual: bool) -> str:
           QUALIFY row_number() OVER (PARTITION BY permaTicker ORDER BY end_date DESC)
             <= {10 if annual else 24})
         SELECT s.permaTicker, s.ticker, s.end_date, {_cols("s.{n}", tags)},
-               coalesce(round(nullif(s.net_income, 0) / nullif(s.revenue, 0), 4), 0) AS margin,
+               coalesce(nullif(s.net_income, 0) / nullif(s.revenue, 0), 0) AS margin,
                {growth.replace("revenue", "s.revenue").replace("permaTicker", "s.permaTicker")
                       .replace("end_date", "s.end_date")},
-               round(m.pe_ratio, 4) AS pe_ratio, round(m.pb_ratio, 4) AS pb_ratio,
-               round(m.mkt_cap, 4) AS mkt_cap, round(m.close, 4) AS close
+               m.pe_ratio, m.pb_ratio, m.mkt_cap, m.close
         FROM shown s ASOF LEFT JOIN matrix m
           ON s.permaTicker = m.permaTicker AND s.end_date >= m.p_date""", "matrix", "facts")
 
@@ -221,11 +214,9 @@ def oracles() -> dict[str, str]:
         "filing_snapshot": q(f"SELECT cik, e_date, f_date, {', '.join(_SNAPSHOT)} FROM snapshot",
                              "snapshot"),
         "share_counts": q("SELECT * FROM shares", "shares"),
-        "pit_ttm": q("SELECT cik, f_date, "
-                     + _cols("round({n}, 2) AS {n}", [f"{t}_ttm" for t in TTM_TAGS]) + " FROM ttm",
-                     "ttm"),
+        "pit_ttm": q("SELECT * FROM ttm", "ttm"),
         "ttm_fy_override": q("SELECT cik, f_date, " + _cols(
-            "round({n}, 2) AS {n}", [f"{t}_ttm" for t in TTM_TAGS]) + " FROM filings", "filings"),
+            "{n}_ttm", TTM_TAGS) + " FROM filings", "filings"),
         "asof_fundamentals": q("SELECT permaTicker, p_date, f_date, "
                                + _cols("{n}", MATRIX_TAGS) + " FROM matched", "matched"),
         "asof_fundamentals_segmented": q("SELECT permaTicker, p_date, f_date, "
@@ -274,26 +265,24 @@ def oracles() -> dict[str, str]:
             FROM (SELECT DISTINCT cik, e_date FROM versions)
             WINDOW w AS (PARTITION BY cik ORDER BY e_date)""", "versions"),
         "matrix": q(f"SELECT {_MATRIX_SELECT} FROM matrix", "matrix"),
-        "matrix_roe_on_equity": q("""SELECT permaTicker, p_date, round(roa, 4) AS roa,
-            round(net_income_ttm / nullif(equity, 0), 4) AS roe FROM matrix""", "matrix"),
+        "matrix_roe_on_equity": q("""SELECT permaTicker, p_date, roa,
+            net_income_ttm / nullif(equity, 0) AS roe FROM matrix""", "matrix"),
         "matrix_extended": q(f"""
             , r AS (SELECT *, {_lag_return("adjClose", 1)} AS ret FROM matrix {_DAILY})
             SELECT permaTicker, p_date, {", ".join(
-                f"round({_lag_return('adjClose', n)}, 4) AS {c}" for c, n in
+                f"{_lag_return('adjClose', n)} AS {c}" for c, n in
                 (("mom_1m", 21), ("mom_3m", 63), ("mom_6m", 126)))},
                    {", ".join(f"round({_rolling('stddev_samp', 'ret', n)}, 6) AS vol_{n}d"
                               for n in (30, 90))},
-                   round(ni_growth_yoy, 4) AS ni_growth_yoy,
-                   round(rd_expense / nullif(revenue, 0), 4) AS rd_intensity,
-                   round((net_income_ttm - operating_cash_flow_ttm) / nullif(total_assets, 0), 4)
-                     AS accruals
+                   ni_growth_yoy, rd_expense / nullif(revenue, 0) AS rd_intensity,
+                   (net_income_ttm - operating_cash_flow_ttm) / nullif(total_assets, 0) AS accruals
             FROM r {_DAILY}""", "matrix"),
         "status": q("""
             SELECT count(*) AS rows, count(DISTINCT ticker) AS tickers, min(p_date) AS start,
                    max(p_date) AS "end", count(DISTINCT sector) AS sectors FROM matrix""", "matrix"),
         "profile_header": q("""
             SELECT permaTicker, ticker, p_date, sector, industry, """ + _cols(
-                "round(coalesce({n}, 0), 4) AS {n}",
+                "coalesce({n}, 0) AS {n}",
                 ["close", "mkt_cap", "pe_ratio", "pb_ratio", "roe"]) + """
             FROM matrix QUALIFY row_number() OVER
               (PARTITION BY permaTicker ORDER BY p_date DESC) = 1""", "matrix"),
@@ -301,9 +290,9 @@ def oracles() -> dict[str, str]:
         "performance_interim": _performance(False),
         "valuation_history": q("""
             SELECT permaTicker, CAST(date_trunc('month', p_date) AS DATE) AS month,
-                   any_value(ticker) AS ticker, round(arg_max(close, p_date), 4) AS close,
+                   any_value(ticker) AS ticker, arg_max(close, p_date) AS close,
                    round(avg(pe_ratio), 4) AS pe_ratio, round(avg(pb_ratio), 4) AS pb_ratio,
-                   round(arg_max_null(mkt_cap, p_date), 4) AS mkt_cap,
+                   arg_max_null(mkt_cap, p_date) AS mkt_cap,
                    round(avg(rev_growth_yoy), 4) AS rev_growth_yoy
             FROM matrix GROUP BY 1, 2
             QUALIFY row_number() OVER (PARTITION BY permaTicker ORDER BY month DESC) <= 24""",
@@ -315,7 +304,7 @@ def oracles() -> dict[str, str]:
         "screen_sql": q(f"""SELECT {_MATRIX_SELECT} FROM matrix
             WHERE p_date = DATE '1998-06-15' AND pb_ratio BETWEEN 0 AND 100000
               AND (debt_to_equity = 0 OR ev > mkt_cap)""", "matrix"),
-        "universe": q("""SELECT ticker, cik, sector, round(mkt_cap, 4) AS mkt_cap
+        "universe": q("""SELECT ticker, cik, sector, mkt_cap
                          FROM matrix, last_day WHERE p_date = d AND ticker IS NOT NULL""",
                       "matrix", "last_day"),
         "sector_compare": q("""
@@ -362,7 +351,7 @@ def oracles() -> dict[str, str]:
             , y AS (SELECT permaTicker, year(p_date)::INTEGER AS year, avg(mkt_cap) AS mean_cap
                     FROM matrix GROUP BY ALL)
             SELECT permaTicker, year, round(mean_cap, 2) AS mean_cap,
-                   round(abs(s_acctbal) * 1000000, 2) AS ceiling,
+                   abs(s_acctbal) * 1000000 AS ceiling,
                    coalesce(mean_cap <= abs(s_acctbal) * 1000000, true) AS passed
             FROM y JOIN supplier ON permaTicker = 'P' || lpad(s_suppkey::TEXT, 6, '0')""", "matrix"),
         "audit_split": q("""
@@ -370,9 +359,7 @@ def oracles() -> dict[str, str]:
                       (PARTITION BY permaTicker ORDER BY p_date) AS cap_before FROM matrix),
             d AS (SELECT c.*, splitFactor, abs(mkt_cap / nullif(cap_before, 0) - 1) AS deviation
                   FROM c JOIN fx_actions USING (permaTicker, p_date) WHERE splitFactor <> 1)
-            SELECT permaTicker, p_date, round(mkt_cap, 4) AS mkt_cap,
-                   round(cap_before, 4) AS cap_before, splitFactor,
-                   round(deviation, 4) AS deviation, deviation < 0.05 AS passed FROM d""",
+            SELECT *, deviation < 0.05 AS passed FROM d""",
             "matrix", "fx_actions"),
         "audit_gaps": q("""
             , days AS (SELECT p_date, row_number() OVER (ORDER BY p_date) AS i
@@ -404,7 +391,7 @@ def oracles() -> dict[str, str]:
                     FROM fx_prices a JOIN fx_prices_alt b USING (permaTicker, p_date))
             SELECT permaTicker, count(*) AS shared_days,
                    count(*) FILTER (drift > 0.005) AS drifting_days,
-                   round(max(drift), 4) AS max_drift FROM d GROUP BY permaTicker""",
+                   max(drift) AS max_drift FROM d GROUP BY permaTicker""",
             "fx_prices", "fx_prices_alt"),
         "audit_symbol_change": q("""
             , l AS (SELECT permaTicker, p_date, symbol AS new_ticker, lag(symbol) OVER w AS old_ticker,
@@ -428,8 +415,7 @@ def oracles() -> dict[str, str]:
         "export_history": q("""SELECT ticker, cik, p_date, close, adjClose, volume FROM matrix
                                WHERE ticker = 'T11'""", "matrix"),
         "export_research": q("""
-            SELECT permaTicker, ticker, p_date, round(pe_ratio, 4) AS pe_ratio,
-                   round(fcf_yield, 4) AS fcf_yield FROM matrix
+            SELECT permaTicker, ticker, p_date, pe_ratio, fcf_yield FROM matrix
             WHERE p_date >= DATE '1997-01-01' AND adv_20d >= 40000""", "matrix"),
         "json_records": q("""
             SELECT '{"permaTicker":"' || permaTicker || '","ticker":"' || ticker || '","cik":"' || cik

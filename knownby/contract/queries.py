@@ -26,7 +26,6 @@ from knownby.options import EngineOptions
 from knownby.plans import audits, research
 from knownby.plans.matrix import (
     MOMENTUM_ROWS,
-    PRICE_SIGNALS,
     bars_with_filings,
     build_extended,
     fan_out,
@@ -110,13 +109,13 @@ def share_counts(spark, d):
 
 @query
 def pit_ttm(spark, d):
-    return I.rounded(pit.pit_ttm(I.facts(spark, d)), 2)
+    return pit.pit_ttm(I.facts(spark, d))
 
 
 @query
 def ttm_fy_override(spark, d):
     state = pit.filing_state(I.facts(spark, d))
-    return I.rounded(state.select("cik", "f_date", *[f"{t}_ttm" for t in TTM_TAGS]), 2)
+    return state.select("cik", "f_date", *[f"{t}_ttm" for t in TTM_TAGS])
 
 
 @query
@@ -223,13 +222,13 @@ def adv(spark, d):
 @query
 def adv_chunked(spark, d):
     mean = _in_chunks(spark, d, 19, "adv_20d", lambda w: strict_rolling(F.expr(_DOLLARS), 20, w))
-    return I.rounded(mean.select("permaTicker", "p_date", "adv_20d"), 1)
+    return I.rounded(mean.select("permaTicker", "p_date", "adv_20d"), adv_20d=1)
 
 
 @query
 def volatility(spark, d):
     signals = price_signals(I.prices(spark, d))
-    return I.rounded(signals.select("permaTicker", "p_date", "vol_30d", "vol_90d"), 6)
+    return I.rounded(signals.select("permaTicker", "p_date", "vol_30d", "vol_90d"), vol_30d=6, vol_90d=6)
 
 
 @query
@@ -243,21 +242,19 @@ def amihud(spark, d):
 
 @query
 def matrix(spark, d):
-    return I.rounded(I.built_matrix(spark, d))
+    return I.rounded(I.built_matrix(spark, d), adv_20d=1)
 
 
 @query
 def matrix_roe_on_equity(spark, d):
     options = EngineOptions(unique_bars=True, roe_denominator="equity")
-    return I.rounded(I.built_matrix(spark, d, options).select("permaTicker", "p_date", "roa", "roe"))
+    return I.built_matrix(spark, d, options).select("permaTicker", "p_date", "roa", "roe")
 
 
 @query
 def matrix_extended(spark, d):
     wide = build_extended(I.prices(spark, d), I.facts(spark, d), I.meta(spark, d), I.OPTIONS)
-    places = {name: 6 if name.startswith("vol") else 4 for name in PRICE_SIGNALS}
-    return wide.drop("amihud_20d").select("permaTicker", "p_date", *[
-        F.round(c, places.get(c, 4)).alias(c) for c in wide.columns[2:] if c != "amihud_20d"])
+    return I.rounded(wide, vol_30d=6, vol_90d=6).drop("amihud_20d")
 
 
 # --- research reports ----------------------------------------------------------------------------
@@ -269,14 +266,11 @@ def status(spark, d):
 
 @query
 def profile_header(spark, d):
-    return I.rounded(research.profile_header(_matrix(spark, d)))
+    return research.profile_header(_matrix(spark, d))
 
 
 def _performance(spark, d, annual):
-    shown = research.performance_history(_matrix(spark, d), I.facts(spark, d), annual)
-    exact = research.PERFORMANCE_TAGS
-    return shown.select(*[F.round(c, 4).alias(c) if t == "double" and c not in exact else F.col(c)
-                          for c, t in shown.dtypes])
+    return research.performance_history(_matrix(spark, d), I.facts(spark, d), annual)
 
 
 @query
@@ -291,14 +285,15 @@ def performance_interim(spark, d):
 
 @query
 def valuation_history(spark, d):
-    return I.rounded(research.valuation_history(_matrix(spark, d)))
+    return I.rounded(research.valuation_history(_matrix(spark, d)),
+                     pe_ratio=4, pb_ratio=4, rev_growth_yoy=4)
 
 
 @query
 def screen(spark, d):
     hits = research.screen(_matrix(spark, d), pe_max=5000, roe_min=0.5, mom_min=-0.9,
                            sector="A.*A|Europe")
-    return I.rounded(hits.drop("p_year"))
+    return I.rounded(hits.drop("p_year"), adv_20d=1)
 
 
 @query
@@ -306,18 +301,18 @@ def screen_sql(spark, d):
     hits = research.screen(
         _matrix(spark, d), date=dt.date(1998, 6, 15), limit=None,
         sql="pb_ratio BETWEEN 0 AND 100000 AND (debt_to_equity = 0 OR ev > mkt_cap)")
-    return I.rounded(hits.drop("p_year"))
+    return I.rounded(hits.drop("p_year"), adv_20d=1)
 
 
 @query
 def universe_(spark, d):
-    return I.rounded(research.universe_report(_matrix(spark, d)))
+    return research.universe_report(_matrix(spark, d))
 
 
 
 @query
 def sector_compare(spark, d):
-    return I.rounded(research.sector_compare(_matrix(spark, d)))
+    return I.rounded(research.sector_compare(_matrix(spark, d)), mean_return=4)
 
 
 # --- registry ------------------------------------------------------------------------------------
@@ -385,12 +380,12 @@ def audit_cap_bounds(spark, d):
     ceilings = D.table(spark, d, "supplier").select(
         F.concat(F.lit("P"), F.lpad(F.col("s_suppkey").cast("string"), 6, "0")).alias("permaTicker"),
         (F.abs("s_acctbal") * 1000000).alias("ceiling"))
-    return I.rounded(audits.cap_bounds(_matrix(spark, d), ceilings), 2)
+    return I.rounded(audits.cap_bounds(_matrix(spark, d), ceilings), mean_cap=2)
 
 
 @query
 def audit_split(spark, d):
-    return I.rounded(audits.split_continuity(_matrix(spark, d), I.actions(spark, d)))
+    return audits.split_continuity(_matrix(spark, d), I.actions(spark, d))
 
 
 @query
@@ -416,7 +411,7 @@ def audit_ghosts(spark, d):
 @query
 def audit_two_sources(spark, d):
     second = D.adapter(spark, d, D.FX_PRICES_ALT)
-    return I.rounded(audits.two_sources(I.prices(spark, d), second, tolerance=0.005))
+    return audits.two_sources(I.prices(spark, d), second, tolerance=0.005)
 
 
 @query
@@ -539,7 +534,7 @@ def export_research(spark, d):
     sinks.export_research(sinks.research_extract(
         _matrix(spark, d), start=dt.date(1997, 1, 1), columns=["pe_ratio", "fcf_yield"],
         min_adv=40000), path)
-    return I.rounded(spark.read.parquet(path))
+    return spark.read.parquet(path)
 
 
 @query
@@ -588,4 +583,4 @@ def incremental_matrix(spark, d):
     scope = incremental.rebuild_scope(new_prices, new_facts, meta)
     fresh = incremental.rebuilt_rows(scope, prices, facts, meta, I.OPTIONS)
     incremental.refresh_matrix(path, scope, fresh)
-    return I.rounded(sinks.read_matrix(spark, path).drop("p_year"))
+    return I.rounded(sinks.read_matrix(spark, path).drop("p_year"), adv_20d=1)

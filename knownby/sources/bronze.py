@@ -20,8 +20,7 @@ _SECURITY_FILE = r"([^/=]*)[.]csv(/|$)"
 def _whole_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     """One row per file. Files hold one security's or one company's record, so they stay small."""
     return (
-        spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern).text(path)
+        spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
         .select(F.col("_metadata.file_path").alias("file"), "value")
     )
 
@@ -40,45 +39,46 @@ def _security_of(file: Column) -> dict[str, Column]:
     }
 
 
+def _bare(text: Column) -> Column:
+    """Cell text without surrounding blanks, quotes or a carriage return."""
+    return F.btrim(text, F.lit(' "\r'))
+
+
 def read_prices(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Price files to (prices, quarantine).
 
     Columns are found by name in each file's own header, so order may differ and unnamed or extra
     columns are ignored. A file that lacks a required column, or holds text where a number belongs,
-    is set aside whole.
+    is set aside whole. Positions are worked out once per file; lines are parsed after the explode,
+    inside generated code. Files with an unreadable number are found by their own pass over the
+    landing, so the good path needs no shuffle of its rows.
     """
-    lines = F.split("value", "\r?\n")
-    names = F.transform(F.split(F.get(lines, F.lit(0)), ","),
-                        lambda n: F.regexp_replace(F.trim(n), '^"|"$', ""))
-    places = F.struct(*[(F.array_position("names", c) - 1).cast("int").alias(c) for c in _REQUIRED])
-
-    def parse(line: Column) -> Column:
-        cells = F.split(line, ",")
-
-        def cell(column: str) -> Column:
-            text = F.regexp_replace(F.trim(F.get(cells, F.col(f"places.{column}"))), '^"|"$', "")
-            return F.nullif(text, F.lit(""))
-
-        numbers = {c: cell(c).try_cast("double") for c in PRICE_VALUES}
-        bad = C.all_of([cell(c).isNull() | numbers[c].isNotNull() for c in PRICE_VALUES])
-        return F.struct(cell("date").alias("date"), *[v.alias(c) for c, v in numbers.items()],
-                        (~bad).alias("bad"))
-
-    files = (
-        _whole_files(spark, path, "*.csv")
-        .withColumn("names", names)
-        .withColumn("places", places)
-        .withColumn("complete", C.all_of([F.col(f"places.{c}") >= 0 for c in _REQUIRED]))
-        .withColumn("rows", F.when(F.col("complete"), F.transform(
-            F.filter(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))),
-                     lambda line: F.trim(line) != ""), parse)))
-        .select("file", F.when(~F.col("complete"), F.lit("required column missing"))
-                .when(F.exists("rows", lambda r: r["bad"]), F.lit("unreadable number"))
-                .alias("reason"), "rows")
+    header = F.substring_index("value", "\n", 1)
+    files = _whole_files(spark, path, "*.csv").select(
+        "file", "value", F.transform(F.split(header, ","), _bare).alias("names"))
+    required = F.array(*[F.lit(c) for c in _REQUIRED])
+    complete = F.size(F.array_except(required, F.col("names"))) == 0
+    short = files.where(~complete).select("file", F.lit("required column missing").alias("reason"))
+    cells = (
+        files.where(complete)
+        .select("file", "names", F.posexplode(F.split("value", "\n")).alias("_line", "line"))
+        .where((F.col("_line") > 0) & (_bare(F.col("line")) != ""))
+        .withColumn("cells", F.split("line", ","))
+        .select("file", *[F.nullif(_bare(F.get(
+            "cells", (F.array_position("names", c) - 1).cast("int"))), F.lit("")).alias(c)
+            for c in _REQUIRED])
+    )
+    readable = C.all_of([F.col(c).isNull() | F.col(c).try_cast("double").isNotNull()
+                         for c in PRICE_VALUES])
+    spoilt = cells.where(~readable).select("file").distinct()
+    prices = (
+        cells.join(spoilt, "file", "left_anti")
+        .select("date", *[F.col(c).try_cast("double").alias(c) for c in PRICE_VALUES],
+                *[v.alias(k) for k, v in _security_of(F.col("file")).items()])
+        .select(*PRICES.names)
     )
-    rows = files.where(F.col("reason").isNull()).select("file", F.inline("rows"))
-    prices = rows.withColumns(_security_of(F.col("file"))).select(*PRICES.names)
-    return prices, files.where(F.col("reason").isNotNull()).select("file", "reason")
+    return prices, short.unionByName(
+        spoilt.withColumn("reason", F.lit("unreadable number")))
 
 
 def with_price_dates(prices: DataFrame) -> DataFrame:
