@@ -91,7 +91,7 @@ def sic_sectors(spark, d):
 
 @query
 def meta_universe(spark, d):
-    traded = I.prices(spark, d).select("permaTicker")
+    traded = I.prices(spark, d).select("permaTicker").distinct()
     listed = universe(I.meta(spark, d), I.facts(spark, d))
     return listed.join(traded, "permaTicker", "left_semi").select(
         "permaTicker", "ticker", "cik", "sector", "industry")

@@ -55,12 +55,17 @@ def completeness(registry: DataFrame) -> DataFrame:
 
 
 def hit_list(registry: DataFrame, prices: DataFrame, facts: DataFrame) -> DataFrame:
-    """Securities without any bar and companies without any fact: (type, ticker, id)."""
-    no_prices = registry.join(prices.select("permaTicker"), "permaTicker", "left_anti").select(
+    """Securities without any bar and companies without any fact: (type, ticker, id).
+
+    The big sides fold to their distinct ids map-side before they are shuffled for the joins.
+    """
+    priced = prices.select("permaTicker").distinct()
+    reporting = facts.select("cik").distinct()
+    no_prices = registry.join(priced, "permaTicker", "left_anti").select(
         F.lit("price").alias("type"), "ticker",
         C.security_id(F.col("permaTicker"), F.col("ticker")).alias("id"))
     keyed = registry.where(F.col("cik").isNotNull()).select(
         "ticker", C.normalize_cik(F.col("cik")).alias("cik"))
-    no_facts = keyed.join(facts.select("cik"), "cik", "left_anti").select(
+    no_facts = keyed.join(reporting, "cik", "left_anti").select(
         F.lit("fundamentals").alias("type"), "ticker", F.col("cik").alias("id"))
     return no_prices.unionByName(no_facts)

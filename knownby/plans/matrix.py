@@ -33,7 +33,9 @@ def universe(meta: DataFrame, facts: DataFrame | None = None) -> DataFrame:
         F.coalesce(F.col("sector"), F.lit("Unknown")).alias("sector"),
         F.coalesce(F.col("industry"), F.lit("Unknown")).alias("industry"),
     )
-    return kept if facts is None else kept.join(facts.select("cik"), "cik", "left_semi")
+    if facts is None:
+        return kept
+    return kept.join(facts.select("cik").distinct(), "cik", "left_semi")  # one row per company moves
 
 
 def price_axis(prices: DataFrame, securities: DataFrame, options: EngineOptions) -> DataFrame:

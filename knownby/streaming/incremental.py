@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from knownby.functions.cleaning import normalize_cik
 from knownby.operators.dedupe import last_row_per_key
 from knownby.options import DEFAULT, EngineOptions
 from knownby.plans.matrix import build_matrix
@@ -102,8 +103,8 @@ def rebuild_scope(new_prices: DataFrame | None, new_facts: DataFrame | None,
         parts.append(new_prices.groupBy("permaTicker").agg(F.min("p_date").alias("since")))
     if new_facts is not None:
         companies = new_facts.groupBy("cik").agg(F.min("filed_date").alias("since"))
-        parts.append(meta.select("permaTicker", "cik").join(companies, "cik")
-                     .select("permaTicker", "since"))
+        listed = meta.select("permaTicker", normalize_cik(F.col("cik")).alias("cik"))
+        parts.append(listed.join(companies, "cik").select("permaTicker", "since"))
     scope = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return scope.groupBy("permaTicker").agg(F.min("since").alias("since"))
 
@@ -116,7 +117,8 @@ def rebuilt_rows(scope: DataFrame, prices: DataFrame, facts: DataFrame, meta: Da
     """
     touched = meta.join(scope.select("permaTicker"), "permaTicker", "left_semi")
     bars = prices.join(touched.select("permaTicker"), "permaTicker", "left_semi")
-    own_facts = facts.join(touched.select("cik"), "cik", "left_semi")
+    companies = touched.select(normalize_cik(F.col("cik")).alias("cik")).distinct()
+    own_facts = facts.join(companies, "cik", "left_semi")
     fresh = build_matrix(bars, own_facts, touched, options)
     return (
         fresh.join(scope, "permaTicker").where(F.col("p_date") >= F.col("since")).drop("since")
