@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from knownby.operators.facts import clean_facts
 from knownby.options import EngineOptions
 from knownby.plans.matrix import build_matrix
+from knownby.schemas import FACTS
 from knownby.session import scratch_folder
 from knownby.sources import driver_tables as D
 from knownby.sources.sinks import read_matrix, write_matrix, write_table
@@ -48,7 +49,7 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The silver facts table: cleaned once, then read by every plan that needs it."""
     path = _stored(spark, sf_dir, "facts",
                    lambda p: write_table(clean_facts(raw_facts(spark, sf_dir)), p))
-    return spark.read.parquet(path)
+    return spark.read.schema(FACTS).parquet(path)
 
 
 def built_matrix(spark: SparkSession, sf_dir: str, options: EngineOptions = OPTIONS) -> DataFrame:

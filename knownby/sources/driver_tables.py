@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 FX_PRICES = """
 SELECT 'P' || lpad(CAST(l_suppkey AS STRING), 6, '0')            AS permaTicker,
@@ -75,8 +76,15 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionke
 _TABLES = ["region", "nation", "supplier", "orders", "lineitem", "events"]
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its footer is read for the schema once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def adapter(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:

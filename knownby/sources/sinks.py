@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from knownby.schemas import MATRIX
 
@@ -41,8 +42,9 @@ def write_matrix(matrix: DataFrame, path: str, dynamic: bool = False) -> None:
 
 
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:
-    """The stored daily table, ``p_year`` last."""
-    return spark.read.parquet(path)
+    """The stored daily table, ``p_year`` last. The schema is the contract; no footer is read for it."""
+    return spark.read.schema(T.StructType([*MATRIX.fields, T.StructField("p_year", T.IntegerType())])
+                             ).parquet(path)
 
 
 def export_history(matrix: DataFrame, ticker: str, path: str) -> None:

@@ -18,7 +18,7 @@ from knownby.functions.cleaning import normalize_cik
 from knownby.operators.dedupe import last_row_per_key
 from knownby.options import DEFAULT, EngineOptions
 from knownby.plans.matrix import build_matrix
-from knownby.sources.sinks import check_contract, write_matrix
+from knownby.sources.sinks import check_contract, read_matrix, write_matrix
 
 PRICE_KEYS = ["permaTicker", "p_date"]
 FACT_KEYS = ["cik", "tag", "end_date", "filed_date", "fp", "is_fy", "is_quarter"]
@@ -144,5 +144,5 @@ def refresh_matrix(path: str, scope: DataFrame, fresh: DataFrame) -> None:
     first = scope.agg(F.min(F.year("since"))).first()[0]
     if first is None:
         return
-    stored = spark.read.parquet(path).where(F.col("p_year") >= first)
+    stored = read_matrix(spark, path).where(F.col("p_year") >= first)
     write_matrix(updated_matrix(stored, scope, fresh), path, dynamic=True)
