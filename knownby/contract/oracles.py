@@ -343,6 +343,9 @@ def oracles() -> dict[str, str]:
             UNION ALL
             SELECT permaTicker, p_date, close, adjClose FROM fx_prices_alt
             WHERE p_date >= '1999-01-01'""", "fx_prices", "fx_prices_alt"),
+        "last_rows": """
+            SELECT user_id, event_id, event_type, value FROM events
+            QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
         "audit_survivorship": q("""
             SELECT permaTicker, any_value(ticker) AS ticker, max(p_date) AS last_seen FROM matrix
             GROUP BY permaTicker HAVING max(p_date) < (SELECT d FROM last_day)""",

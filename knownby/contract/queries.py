@@ -12,7 +12,7 @@ from knownby.contract import inputs as I
 from knownby.functions import cleaning as C
 from knownby.functions import ratios as R
 from knownby.operators import pit, registry
-from knownby.operators.dedupe import daily_axis, union_dedupe
+from knownby.operators.dedupe import daily_axis, last_row_per_key, union_dedupe
 from knownby.operators.facts import clean_facts
 from knownby.operators.timeseries import (
     asof_join,
@@ -368,6 +368,13 @@ def union_dedupe_(spark, d):
 
 
 
+@query
+def last_rows(spark, d):
+    """The latest whole row per id, as the registry keeps it when an id is listed again."""
+    events = D.table(spark, d, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    return last_row_per_key(events, ["user_id"], ["ts", "event_id"]).drop("ts")
+
+
 # --- audits --------------------------------------------------------------------------------------
 
 @query

@@ -117,7 +117,12 @@ def screen(matrix: DataFrame, *, date: dt.date | None = None, pe_max: float | No
 
     ``sql`` is a predicate over the table's columns. ``limit=None`` returns every match.
     """
-    rows = on_latest_date(matrix) if date is None else matrix.where(F.col("p_date") == F.lit(date))
+    if date is None:
+        rows = on_latest_date(matrix)
+    else:
+        rows = matrix.where(F.col("p_date") == F.lit(date))
+        if "p_year" in matrix.columns:
+            rows = rows.where(F.col("p_year") == date.year)
     conditions: list[Column] = []
     if pe_max is not None:
         conditions.append(F.col("pe_ratio") < pe_max)
