@@ -108,9 +108,18 @@ def mixture(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[tupl
 
 def select_mixture(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[tuple[str, ...], int], **options) -> DataFrame:
     """The chosen documents with all their columns, each as often as it is taken."""
-    taken = mixture(docs, levels, weights, **options).where("copies > 0")
-    # Repeated rows of one doc_id share the copies they are given together.
-    copies = taken.groupBy("doc_id").agg(F.sum("copies").alias("__n"), F.count("*").alias("__rows")).withColumnRenamed("doc_id", "__id")
-    return docs.join(copies, F.col("doc_id").eqNullSafe(F.col("__id"))) \
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.expr("CAST(__n DIV __rows AS INT)"))))) \
-        .drop("__id", "__n", "__rows", "__copy")
+    values = {"doc_id": F.col("doc_id"), **{n: F.coalesce(c.cast("string"), F.lit(NONE)) for n, c in levels.items()}, "n_tokens": word_count(F.col("text"))}
+    taken = store(mixture(docs, levels, weights, **options).groupBy(*values).agg(F.sum("copies").alias("__n"), F.count("*").alias("__rows"))
+                  .where("__n > 0").withColumnsRenamed({c: f"__{c}" for c in values}), "mixture-taken")
+    same = F.lit(True)
+    for name, value in values.items():
+        same = same & value.eqNullSafe(F.col(f"__{name}"))
+    met = docs.join(taken, same)
+    # Rows that repeat a doc_id and all else count as one group; its copies are dealt out evenly.
+    place = F.lit(0)
+    if not taken.where("__n % __rows != 0").isEmpty():
+        keys = ", ".join(f"__{c}" for c in values)
+        place = F.expr(f"row_number() OVER (PARTITION BY {keys} ORDER BY __n) - 1")
+    own = met.withColumn("__own", (F.expr("__n DIV __rows") + (place < F.expr("__n % __rows")).cast("int")).cast("int"))
+    each = own.withColumn("__copy", F.explode(F.expr("IF(__own > 0, sequence(1, __own), array())")))
+    return each.select(*docs.columns)
