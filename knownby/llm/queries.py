@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knownby.llm import bpe, exact_dedup, mixing, near_dedup, quality
+from knownby.llm import ann, bpe, exact_dedup, langid, licenses, lmscore, mixing, near_dedup, quality, secrets
 from knownby.llm.common import table
 from knownby.llm.oracles import ORACLES
 
@@ -35,6 +35,25 @@ def mix_levels() -> dict[str, Column]:
     return {"domain": _domain(), "lang": F.col("lang"), "source": F.col("source")}
 
 
+def _path() -> Column:
+    """A place for each document in a source tree: its source, then directories of 500 and of 25 documents.
+
+    The first document of a directory is its licence file.
+    """
+    outer, inner = F.expr("doc_id DIV 500"), F.expr("doc_id DIV 25 % 20")
+    return F.when(_is_license_file(), F.concat_ws("/", "source", outer, F.when(F.col("doc_id") % 500 != 0, inner), F.lit("LICENSE"))) \
+        .otherwise(F.concat_ws("/", "source", outer, inner, F.concat(F.lit("doc-"), F.col("doc_id"))))
+
+
+def _is_license_file() -> Column:
+    return F.col("doc_id") % 25 == 0
+
+
+def op1_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
+    good = table(spark, d, "labels").where("quality = 1").select("doc_id")
+    return lmscore.cross_entropy_difference(table(spark, d, "documents"), good)
+
+
 def op2_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, d, "documents"))
 
@@ -43,6 +62,17 @@ def op3_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixture(table(spark, d, "documents"), mix_levels(), MIX_WEIGHTS)
 
 
+def op4_language_id(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
+def op5_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    placed = docs.select("doc_id", F.when(F.col("doc_id").isNotNull(), _path()).alias("path"), "text")
+    return licenses.scan_licenses(placed, _is_license_file())
+
+
 def op6_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, d, "documents"))
 
@@ -52,14 +82,23 @@ def op7_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality_scores(docs, quality.train(docs, table(spark, d, "labels")))
 
 
+def op8_secret_scan(spark: SparkSession, d: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, d, "documents"))
+
+
 def op9_bpe(spark: SparkSession, d: str) -> DataFrame:
     ranks = bpe.load_ranks(public_tokenizers.path(RANKS))
     encoded = bpe.encode(table(spark, d, "documents"), ranks, public_tokenizers.PATTERN)
     return bpe.with_digests(bpe.decode(encoded, ranks)).drop("ids")
 
 
+def op10_ann(spark: SparkSession, d: str) -> DataFrame:
+    return ann.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Query]:
-    found = [op2_exact_dedup, op3_mixing, op6_near_dedup, op7_quality, op9_bpe]
+    found = [op1_lm_scoring, op2_exact_dedup, op3_mixing, op4_language_id, op5_license_scan, op6_near_dedup, op7_quality,
+             op8_secret_scan, op9_bpe, op10_ann]
     return {f.__name__: f for f in found}
 
 
