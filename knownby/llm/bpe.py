@@ -1,14 +1,15 @@
 """Byte-level BPE over a whole corpus: distinct pre-tokens are encoded once.
 
 * Documents are cut into blocks of bounded size where they are read. A block splits its texts into pre-tokens and
-  keeps, for each document, the positions' numbers in the block's list of distinct words. So words leave a
+  keeps, for each document, the positions' numbers in the block's list of distinct words. So a word leaves a
   task once for each block, not once for each occurrence.
-* All blocks' words are shuffled by word; every distinct word is encoded once in its group and its ids are
-  handed to the blocks that hold it. A word as common as may be brings one row for each block.
+* All blocks' words are shuffled by word: to one of ``shards`` owners, by a hash. A row packs the words of one
+  block for one owner. Owners encode every distinct word once and hand its ids to all blocks that hold it; a
+  word as common as may be comes once from each block.
 * Ids return to their block, where each document is put together by position.
 * Decoding joins ids with the table of token bytes, which is as large as the vocabulary and no larger.
 
-A block's number is a digest of its content. Were a lost task rerun in another order, words and positions would
+A block's name is a digest of its content. Were a lost task rerun in another order, words and positions would
 not meet and the job would stop instead of mixing them up.
 
 Defined results: null counts as empty; an empty text has no ids and decodes to no bytes. Special tokens have no
@@ -20,18 +21,21 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of a block; one longer text is a block of its own.
 BLOCK_CHARS = 16_000_000
-_BLOCK_SCHEMA = "block binary, words binary, docs binary"
+#: Words an owner remembers at once, and the most owners (their number fits two bytes).
+MEMORY_WORDS, MAX_SHARDS = 2_000_000, 65_535
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -40,16 +44,45 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
-def _packed(values: list[bytes]) -> tuple[np.ndarray, bytes]:
-    return np.array([len(v) for v in values], np.uint32), b"".join(values)
+def _press(*parts: np.ndarray | bytes) -> bytes:
+    """Byte strings one after the other, with their lengths before them, compressed."""
+    raw = [p if isinstance(p, bytes) else p.tobytes() for p in parts]
+    return zstandard.ZstdCompressor(level=6).compress(b"".join([np.array([len(r) for r in raw], np.int64).tobytes(), *raw]))
 
 
-def _blocks(pattern: str, block_chars: int):
-    """Arrow batches to blocks: one row with its words, and one with its documents' word numbers."""
+def _unpress(pressed: bytes, n: int) -> list[bytes]:
+    raw = zstandard.ZstdDecompressor().decompress(pressed)
+    ends = 8 * n + np.concatenate([[0], np.cumsum(np.frombuffer(raw, np.int64, n))])
+    return [raw[i:j] for i, j in zip(ends[:-1], ends[1:])]
+
+
+def _press_words(words: list[bytes]) -> bytes:
+    return _press(np.array([len(w) for w in words], np.uint32), b"".join(words))
+
+
+def _unpress_words(pressed: bytes) -> list[bytes]:
+    lengths, flat = _unpress(pressed, 2)
+    ends = np.concatenate([[0], np.cumsum(np.frombuffer(lengths, np.uint32), dtype=np.int64)]).tolist()
+    return [flat[i:j] for i, j in zip(ends[:-1], ends[1:])]
+
+
+def _ids_to_bytes(ids: pa.Array) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, pa.schema([("doc_id", ids.type)])) as out:
+        out.write_batch(pa.record_batch([ids], names=["doc_id"]))
+    return sink.getvalue().to_pybytes()
+
+
+def _ids_from_bytes(raw: bytes) -> pa.ChunkedArray:
+    with pa.ipc.open_stream(pa.py_buffer(raw)) as reader:
+        return reader.read_all()["doc_id"]
+
+
+def _blocks(pattern: str, block_chars: int, shards: int):
+    """Arrow batches to blocks: a row with its distinct words and with its documents' word numbers."""
     split = regex.compile(pattern).findall
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             texts, start = batch["text"].to_pylist(), 0
             while start < len(texts):
@@ -61,106 +94,59 @@ def _blocks(pattern: str, block_chars: int):
                     codes.append(np.fromiter(map(number, words), np.uint32, len(words)))
                     chars += len(texts[stop] or "")
                     stop += 1
-                ids = batch["doc_id"].slice(start, stop - start)
-                lengths, flat = _packed([w.encode("utf-8", "surrogatepass") for w in numbers])
-                counts = np.array([len(c) for c in codes], np.uint32)
-                every = np.concatenate(codes)
-                planes = every.view(np.uint8).reshape(-1, 4).T.tobytes()  # equal bytes of the numbers side by side
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, pa.schema([("doc_id", ids.type)])) as out:
-                    out.write_batch(pa.record_batch([ids], names=["doc_id"]))
-                id_bytes = sink.getvalue().to_pybytes()
-                head = np.array([len(counts), len(id_bytes)], np.uint64).tobytes()
-                documents = press(head + id_bytes + counts.tobytes() + planes)
-                words = press(np.array([len(lengths)], np.uint64).tobytes() + lengths.tobytes() + flat)
-                block = hashlib.blake2b(words + documents, digest_size=12).digest()
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.binary()), pa.array([words], pa.binary()),
-                                                  pa.array([documents], pa.binary())], ["block", "words", "docs"])
+                distinct = [w.encode("utf-8", "surrogatepass") for w in numbers]
+                owner = np.fromiter((xxhash.xxh3_64_intdigest(w) % shards for w in distinct), np.uint16, len(distinct))
+                words = _press(owner, _press_words(distinct))
+                # Equal bytes of the numbers lie side by side: the upper ones are nearly constant.
+                planes = np.concatenate(codes).view(np.uint8).reshape(-1, 4).T
+                docs = _press(_ids_to_bytes(batch["doc_id"].slice(start, stop - start)),
+                              np.array([len(c) for c in codes], np.uint32), planes, owner)
+                block = hashlib.blake2b(words + docs, digest_size=12).digest()
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (block, words, docs)], ["block", "words", "docs"])
                 start = stop
 
     return cut
 
 
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A block's words as rows (block, number, word)."""
+    """A block's words as one packed row for each owner, in the order of their numbers."""
     for batch in batches:
         for block, pressed in zip(batch["block"].to_pylist(), batch["words"].to_pylist()):
-            raw = zstandard.ZstdDecompressor().decompress(pressed)
-            n = int(np.frombuffer(raw, np.uint64, 1)[0])
-            ends = np.concatenate([[0], np.cumsum(np.frombuffer(raw, np.uint32, n, 8), dtype=np.int64)]).astype(np.int32)
-            words = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(raw[8 + 4 * n:])])
-            for i in range(0, n, 20_000):
-                part = words[i:i + 20_000]
-                yield pa.RecordBatch.from_arrays([pa.array([block] * len(part), pa.binary()),
-                                                  pa.array(np.arange(i, i + len(part), dtype=np.int32)), part],
-                                                 ["block", "number", "word"])
+            owner, words = _unpress(pressed, 2)
+            owner, words = np.frombuffer(owner, np.uint16), _unpress_words(words)
+            order = np.argsort(owner, kind="stable")
+            shards, first = np.unique(owner[order], return_index=True)
+            parts = [_press_words([words[i] for i in part]) for part in np.split(order, first[1:])] if len(shards) else []
+            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array([block] * len(shards), pa.binary()), pa.array(parts, pa.binary())],
+                                             ["shard", "block", "words"])
 
 
-def _encode_words(shared):
-    """Words in sorted order: a word is encoded when it first appears."""
+class _Encoded(dict):
+    """Word to its ids, encoded when it first comes; emptied should an owner ever hold too many words."""
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__()
         # The pattern takes a word whole: it has been split before.
-        whole = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=shared.value, special_tokens={})
-        last, ids = None, []
-        for batch in batches:
-            out = []
-            for word in batch["word"].to_pylist():
-                if word != last:
-                    last, ids = word, np.array(whole.encode_ordinary(word.decode()), np.int32)
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([batch["block"], batch["number"], pa.array(out, pa.list_(pa.int32()))],
-                                             ["block", "number", "ids"])
-
-    return encode
-
-
-def _assemble(key: tuple, docs: pa.Table, words: pa.Table) -> pa.Table:
-    """Ids of the block's documents, by position."""
-    pressed = docs["docs"].to_pylist()
-    if not pressed:
-        raise RuntimeError("words came back for a block that is gone")
-    _, order = np.unique(words["number"].to_numpy(), return_index=True)  # equal blocks send each word again
-    table = words["ids"].combine_chunks()
-    table = table.chunk(0) if isinstance(table, pa.ChunkedArray) else table
-    starts, flat = table.offsets.to_numpy(), table.values.to_numpy()
-    sizes, starts = np.diff(starts)[order].astype(np.int64), starts[:-1][order].astype(np.int64)
-    out_ids, out_lists = [], []
-    for one in pressed:
-        raw = zstandard.ZstdDecompressor().decompress(one)
-        n, id_size = (int(v) for v in np.frombuffer(raw, np.uint64, 2))
-        with pa.ipc.open_stream(pa.py_buffer(raw[16:16 + id_size])) as reader:
-            out_ids.append(reader.read_all()["doc_id"].combine_chunks())
-        counts = np.frombuffer(raw, np.uint32, n, 16 + id_size).astype(np.int64)
-        codes = np.frombuffer(raw, np.uint8, -1, 16 + id_size + 4 * n).reshape(4, -1).T.copy().view(np.uint32).ravel()
-        if len(codes) and codes.max() >= len(sizes):
-            raise RuntimeError("a block's words are incomplete")
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        ids = [_take(flat, starts, sizes, codes[ends[i]:ends[i + 1]]) for i in range(n)]
-        out_lists.append(pa.array(ids, pa.list_(pa.int32())))
-    columns = [pa.chunked_array([pa.concat_arrays([pa.array(c, pa.int64()) if not isinstance(c, pa.Array) else c.cast(pa.int64())])
-                                 for c in out_ids]), pa.chunked_array(out_lists)]
-    return pa.table(columns, names=["doc_id", "ids"])
-
-
-def _take(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """Concatenate the slices flat[starts[c]:starts[c] + sizes[c]] for the codes."""
-    size = sizes[codes]
-    ends = np.cumsum(size)
-    if not len(ends) or not ends[-1]:
-        return np.empty(0, np.int32)
-    shift = np.repeat(starts[codes] - (ends - size), size)
-    return flat[shift + np.arange(ends[-1])]
-
-
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
+        self.encode = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def __missing__(self, word: bytes) -> list[int]:
+        if len(self) >= MEMORY_WORDS:
+            self.clear()
+        ids = self[word] = self.encode(word.decode())
+        return ids
+
+
+def _encode_words(shared):
+    def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id and ids of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)  # the vocabulary file
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(ranks)  # the vocabulary file
+    shards = min(MAX_SHARDS, max(64, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     # The exchange by block is planned once and feeds both the words and the assembly.
-    blocks = docs.select("doc_id", "text").mapInArrow(_blocks(pattern, block_chars), _BLOCK_SCHEMA).repartition("block")
-    words = blocks.mapInArrow(_spread, "block binary, number int, word binary")
-    ids = words.repartition("word").sortWithinPartitions("word") \
-        .mapInArrow(_encode_words(shared), "block binary, number int, ids array<int>")
+    blocks = docs.select("doc_id", "text").mapInArrow(_blocks(pattern, block_chars, shards), "block binary, words binary, docs binary") \
+        .repartition("block")
+    words = blocks.mapInArrow(_spread, "shard int, block binary, words binary")
+    ids = words.repartition("shard").mapInArrow(_encode_words(shared), "block binary, shard int, ids binary")
     return blocks.groupBy("block").cogroup(ids.groupBy("block")) \
         .applyInArrow(_assemble, "doc_id long, ids array<int>")
 
