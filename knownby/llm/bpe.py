@@ -137,7 +137,59 @@ class _Encoded(dict):
 
 
 def _encode_words(shared):
-    def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoded = _Encoded(shared.value)
+        for batch in batches:
+            out = []
+            for pressed in batch["words"].to_pylist():
+                ids = [encoded[w] for w in _unpress_words(pressed)]
+                flat = np.fromiter(chain.from_iterable(ids), np.int32)
+                out.append(_press(np.fromiter(map(len, ids), np.uint32, len(ids)), flat.view(np.uint8).reshape(-1, 4).T))
+            yield pa.RecordBatch.from_arrays([batch["block"], batch["shard"], pa.array(out, pa.binary())], ["block", "shard", "ids"])
+
+    return encode
+
+
+def _from_planes(raw: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view(kind).ravel()
+
+
+def _assemble(key: tuple, docs: pa.Table, words: pa.Table) -> pa.Table:
+    """Ids of the block's documents, by position."""
+    if not docs.num_rows:
+        raise RuntimeError("words came back for a block that is gone")
+    back = dict(zip(words["shard"].to_pylist(), words["ids"].to_pylist()))  # equal blocks send each part again
+    out_ids, out_lists = [], []
+    for pressed in docs["docs"].to_pylist():
+        doc_ids, counts, planes, owner = _unpress(pressed, 4)
+        owner, flats, at = np.frombuffer(owner, np.uint16), [np.empty(0, np.int32)], 0
+        sizes, starts = np.zeros(len(owner), np.int64), np.zeros(len(owner), np.int64)
+        for shard in np.unique(owner).tolist():
+            if shard not in back:
+                raise RuntimeError("a block's words are incomplete")
+            n, flat = _unpress(back[shard], 2)
+            n, mine = np.frombuffer(n, np.uint32).astype(np.int64), np.flatnonzero(owner == shard)
+            sizes[mine], starts[mine] = n, at + np.cumsum(n) - n
+            flats.append(_from_planes(flat, np.int32))
+            at += len(flats[-1])
+        flat, codes = np.concatenate(flats), _from_planes(planes, np.uint32)
+        ends = np.concatenate([[0], np.cumsum(np.frombuffer(counts, np.uint32), dtype=np.int64)])
+        out_ids += _ids_from_bytes(doc_ids).cast(pa.int64()).chunks
+        out_lists.append(pa.array([_take(flat, starts, sizes, codes[i:j]) for i, j in zip(ends[:-1], ends[1:])], pa.list_(pa.int32())))
+    return pa.table([pa.chunked_array(out_ids, pa.int64()), pa.chunked_array(out_lists)], names=["doc_id", "ids"])
+
+
+def _take(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Concatenate the slices flat[starts[c]:starts[c] + sizes[c]] for the codes."""
+    size = sizes[codes]
+    ends = np.cumsum(size)
+    if not len(ends) or not ends[-1]:
+        return np.empty(0, np.int32)
+    shift = np.repeat(starts[codes] - (ends - size), size)
+    return flat[shift + np.arange(ends[-1])]
+
+
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id and ids of every document."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(ranks)  # the vocabulary file
