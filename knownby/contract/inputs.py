@@ -11,7 +11,7 @@ from knownby.operators.facts import clean_facts
 from knownby.options import EngineOptions
 from knownby.plans.matrix import build_matrix
 from knownby.schemas import FACTS
-from knownby.session import scratch_folder
+from knownby.session import work_folder
 from knownby.sources import driver_tables as D
 from knownby.sources.sinks import read_matrix, write_matrix, write_table
 
@@ -23,7 +23,7 @@ _STORED: dict[tuple[str, str, str], str] = {}
 def _stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
-        path = scratch_folder(spark, name)
+        path = work_folder(spark, name)
         write(path)
         _STORED[key] = path
     return _STORED[key]

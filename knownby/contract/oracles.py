@@ -158,7 +158,7 @@ _MATRIX_SELECT = "permaTicker, " + ", ".join(
     "round(adv_20d, 1) AS adv_20d" if c == "adv_20d" else c for c in MATRIX_COLUMNS)
 
 
-def _performance(annual: bool) -> str:
+def _performance(annual: bool, rows: int | None = None) -> str:
     tags = ["revenue", "net_income", "operating_income", "shares_outstanding"]
     names = ", ".join(f"'{t}'" for t in tags)
     older = "lead(revenue, {k}) OVER (PARTITION BY permaTicker ORDER BY end_date DESC)"
@@ -174,7 +174,7 @@ def _performance(annual: bool) -> str:
           SELECT m.permaTicker, m.ticker, p.* FROM periods p
           JOIN (SELECT DISTINCT permaTicker, ticker, cik FROM matrix) m USING (cik)
           QUALIFY row_number() OVER (PARTITION BY permaTicker ORDER BY end_date DESC)
-            <= {10 if annual else 24})
+            <= {10**9 if rows is None else rows})
         SELECT s.permaTicker, s.ticker, s.end_date, {_cols("s.{n}", tags)},
                coalesce(nullif(s.net_income, 0) / nullif(s.revenue, 0), 0) AS margin,
                {growth.replace("revenue", "s.revenue").replace("permaTicker", "s.permaTicker")
@@ -265,6 +265,7 @@ def oracles() -> dict[str, str]:
             FROM (SELECT DISTINCT cik, e_date FROM versions)
             WINDOW w AS (PARTITION BY cik ORDER BY e_date)""", "versions"),
         "matrix": q(f"SELECT {_MATRIX_SELECT} FROM matrix", "matrix"),
+        "matrix_repeated_registry": q(f"SELECT {_MATRIX_SELECT} FROM matrix", "matrix"),
         "matrix_roe_on_equity": q("""SELECT permaTicker, p_date, roa,
             net_income_ttm / nullif(equity, 0) AS roe FROM matrix""", "matrix"),
         "matrix_extended": q(f"""
@@ -286,8 +287,9 @@ def oracles() -> dict[str, str]:
                 ["close", "mkt_cap", "pe_ratio", "pb_ratio", "roe"]) + """
             FROM matrix QUALIFY row_number() OVER
               (PARTITION BY permaTicker ORDER BY p_date DESC) = 1""", "matrix"),
-        "performance_annual": _performance(True),
-        "performance_interim": _performance(False),
+        "performance_annual": _performance(True, 10),
+        "performance_interim": _performance(False, 24),
+        "performance_all": _performance(False),
         "valuation_history": q("""
             SELECT permaTicker, CAST(date_trunc('month', p_date) AS DATE) AS month,
                    any_value(ticker) AS ticker, arg_max(close, p_date) AS close,
@@ -297,10 +299,19 @@ def oracles() -> dict[str, str]:
             FROM matrix GROUP BY 1, 2
             QUALIFY row_number() OVER (PARTITION BY permaTicker ORDER BY month DESC) <= 24""",
             "matrix"),
+        "valuation_all": q("""
+            SELECT permaTicker, CAST(date_trunc('month', p_date) AS DATE) AS month,
+                   any_value(ticker) AS ticker, arg_max(close, p_date) AS close,
+                   round(avg(pe_ratio), 4) AS pe_ratio, round(avg(pb_ratio), 4) AS pb_ratio,
+                   arg_max_null(mkt_cap, p_date) AS mkt_cap,
+                   round(avg(rev_growth_yoy), 4) AS rev_growth_yoy
+            FROM matrix GROUP BY 1, 2""",
+            "matrix"),
         "screen": q(f"""SELECT {_MATRIX_SELECT} FROM matrix, last_day
             WHERE p_date = d AND pe_ratio < 5000 AND roe > 0.5 AND mom_12m > -0.9
-              AND regexp_matches(lower(sector), 'a.*a|europe')
-            ORDER BY ticker, permaTicker LIMIT 20""", "matrix", "last_day"),
+              AND regexp_matches(lower(sector), 'a.*a|europe')""", "matrix", "last_day"),
+        "screen_all": q(f"SELECT {_MATRIX_SELECT} FROM matrix, last_day WHERE p_date = d AND close > 0",
+                        "matrix", "last_day"),
         "screen_sql": q(f"""SELECT {_MATRIX_SELECT} FROM matrix
             WHERE p_date = DATE '1998-06-15' AND pb_ratio BETWEEN 0 AND 100000
               AND (debt_to_equity = 0 OR ev > mkt_cap)""", "matrix"),
@@ -320,7 +331,7 @@ def oracles() -> dict[str, str]:
             FROM supplier LEFT JOIN events ON user_id = s_suppkey GROUP BY s_suppkey""",
         "completeness": q("""
             SELECT count(*) FILTER (status_prices IS NULL OR status_prices NOT IN
-                     ('success', 'success_empty', 'failed_404', 'failed_no_xbrl')) AS missing_prices,
+                     ('success', 'success_empty', 'failed_404')) AS missing_prices,
                    count(*) FILTER (cik IS NOT NULL AND status_fundamentals NOT IN
                      ('success', 'success_empty', 'failed_404', 'failed_no_xbrl'))
                      AS missing_fundamentals
@@ -333,16 +344,19 @@ def oracles() -> dict[str, str]:
             UNION ALL SELECT 'fundamentals', permaTicker FROM registry
             WHERE cik IS NOT NULL AND status_fundamentals <> 'success'""", "registry"),
         "hit_list": q("""
-            SELECT 'price' AS type, ticker, permaTicker AS id FROM fx_meta
+            , listed AS (SELECT permaTicker, ticker, cik FROM fx_meta UNION ALL
+              SELECT 'C' || c_custkey, 'S' || c_custkey, lpad((c_custkey + 5000000)::TEXT, 10, '0')
+              FROM customer WHERE c_custkey % 10 = 0)
+            SELECT 'price' AS type, ticker, permaTicker AS id FROM listed
             WHERE permaTicker NOT IN (SELECT permaTicker FROM fx_prices)
-            UNION ALL SELECT 'fundamentals', ticker, cik FROM fx_meta
-            WHERE cik NOT IN (SELECT cik FROM facts WHERE is_fy AND tag = 'net_income')""",
+            UNION ALL SELECT 'fundamentals', ticker, cik FROM listed
+            WHERE cik NOT IN (SELECT cik FROM facts)""",
             "fx_meta", "fx_prices", "facts"),
         "union_dedupe": q("""
-            SELECT permaTicker, p_date, close, adjClose FROM fx_prices WHERE p_date < '1999-01-01'
-            UNION ALL
+            , first AS (SELECT permaTicker, p_date, close, adjClose FROM fx_prices WHERE day(p_date) % 3 <> 0)
+            SELECT * FROM first UNION ALL
             SELECT permaTicker, p_date, close, adjClose FROM fx_prices_alt
-            WHERE p_date >= '1999-01-01'""", "fx_prices", "fx_prices_alt"),
+            ANTI JOIN first USING (permaTicker, p_date)""", "fx_prices", "fx_prices_alt"),
         "last_rows": """
             SELECT user_id, event_id, event_type, value FROM events
             QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
@@ -350,12 +364,21 @@ def oracles() -> dict[str, str]:
             SELECT permaTicker, any_value(ticker) AS ticker, max(p_date) AS last_seen FROM matrix
             GROUP BY permaTicker HAVING max(p_date) < (SELECT d FROM last_day)""",
             "matrix", "last_day"),
+        "audit_lost_securities": q("""
+            SELECT permaTicker, max(p_date) AS last_seen FROM fx_prices
+            WHERE permaTicker NOT IN (SELECT permaTicker FROM matrix) GROUP BY 1""",
+            "fx_prices", "matrix"),
+        "audit_trailing_gaps": q("""
+            , days AS (SELECT DISTINCT p_date FROM fx_prices),
+            ends AS (SELECT permaTicker, max(p_date) AS last_seen FROM fx_prices GROUP BY 1)
+            SELECT permaTicker, last_seen, count(*) AS missing FROM ends JOIN days ON p_date > last_seen
+            GROUP BY ALL""", "fx_prices"),
         "audit_cap_bounds": q("""
             , y AS (SELECT permaTicker, year(p_date)::INTEGER AS year, avg(mkt_cap) AS mean_cap
                     FROM matrix GROUP BY ALL)
             SELECT permaTicker, year, round(mean_cap, 2) AS mean_cap,
                    abs(s_acctbal) * 1000000 AS ceiling,
-                   coalesce(mean_cap <= abs(s_acctbal) * 1000000, true) AS passed
+                   mean_cap <= abs(s_acctbal) * 1000000 AS passed
             FROM y JOIN supplier ON permaTicker = 'P' || lpad(s_suppkey::TEXT, 6, '0')""", "matrix"),
         "audit_split": q("""
             , c AS (SELECT permaTicker, p_date, mkt_cap, lag(mkt_cap) OVER
@@ -415,8 +438,7 @@ def oracles() -> dict[str, str]:
         "quarantined_files": q("""
             SELECT DISTINCT cik, 'unreadable JSON' AS reason FROM fx_meta
             WHERE sector = 'EUROPE'""", "fx_meta"),
-        "export_history": q("""SELECT ticker, cik, p_date, close, adjClose, volume FROM matrix
-                               WHERE ticker = 'T11'""", "matrix"),
+        "export_history": q(f"SELECT {_MATRIX_SELECT} FROM matrix WHERE ticker = 'T11'", "matrix"),
         "export_research": q("""
             SELECT permaTicker, ticker, p_date, pe_ratio, fcf_yield FROM matrix
             WHERE p_date >= DATE '1997-01-01' AND adv_20d >= 40000""", "matrix"),

@@ -28,12 +28,14 @@ from knownby.plans.matrix import (
     MOMENTUM_ROWS,
     bars_with_filings,
     build_extended,
+    build_matrix,
     fan_out,
     price_axis,
     price_signals,
     universe,
 )
-from knownby.session import scratch_folder
+from knownby.schemas import MATRIX
+from knownby.session import work_folder
 from knownby.sources import bronze, sinks
 from knownby.sources import driver_tables as D
 from knownby.sources.taxonomy import MATRIX_TAGS, SECTOR_PLACEHOLDERS, TTM_TAGS
@@ -251,6 +253,18 @@ def matrix_roe_on_equity(spark, d):
     return I.built_matrix(spark, d, options).select("permaTicker", "p_date", "roa", "roe")
 
 
+@query
+def matrix_repeated_registry(spark, d):
+    """Every security is listed twice; its older listing names another symbol, company and sector."""
+    meta = I.meta(spark, d)
+    newer = meta.withColumn("last_update", F.lit("2024-06-30"))
+    older = meta.withColumns({
+        "last_update": F.lit("2024-01-01"), "ticker": F.concat("ticker", F.lit("Z")),
+        "cik": F.lit("0009999999"), "sector": F.lit("ZZZ"), "industry": F.lit("ZZZ")})
+    built = build_matrix(I.prices(spark, d), I.facts(spark, d), older.unionByName(newer), I.OPTIONS)
+    return I.rounded(built, adv_20d=1)
+
+
 @query
 def matrix_extended(spark, d):
     wide = build_extended(I.prices(spark, d), I.facts(spark, d), I.meta(spark, d), I.OPTIONS)
@@ -269,22 +283,34 @@ def profile_header(spark, d):
     return research.profile_header(_matrix(spark, d))
 
 
-def _performance(spark, d, annual):
-    return research.performance_history(_matrix(spark, d), I.facts(spark, d), annual)
+def _performance(spark, d, annual, rows=None):
+    return research.performance_history(_matrix(spark, d), I.facts(spark, d), annual, newest_rows=rows)
 
 
 @query
 def performance_annual(spark, d):
-    return _performance(spark, d, True)
+    return _performance(spark, d, True, 10)
 
 
 @query
 def performance_interim(spark, d):
+    return _performance(spark, d, False, 24)
+
+
+@query
+def performance_all(spark, d):
+    """Every period end that is no fiscal year's, however many a security has."""
     return _performance(spark, d, False)
 
 
 @query
 def valuation_history(spark, d):
+    return I.rounded(research.valuation_history(_matrix(spark, d), newest_months=24),
+                     pe_ratio=4, pb_ratio=4, rev_growth_yoy=4)
+
+
+@query
+def valuation_all(spark, d):
     return I.rounded(research.valuation_history(_matrix(spark, d)),
                      pe_ratio=4, pb_ratio=4, rev_growth_yoy=4)
 
@@ -293,15 +319,21 @@ def valuation_history(spark, d):
 def screen(spark, d):
     hits = research.screen(_matrix(spark, d), pe_max=5000, roe_min=0.5, mom_min=-0.9,
                            sector="A.*A|Europe")
-    return I.rounded(hits.drop("p_year"), adv_20d=1)
+    return I.rounded(hits, adv_20d=1)
+
+
+@query
+def screen_all(spark, d):
+    """A predicate that most securities meet on the last day."""
+    return I.rounded(research.screen(_matrix(spark, d), sql="close > 0"), adv_20d=1)
 
 
 @query
 def screen_sql(spark, d):
     hits = research.screen(
-        _matrix(spark, d), date=dt.date(1998, 6, 15), limit=None,
+        _matrix(spark, d), date=dt.date(1998, 6, 15),
         sql="pb_ratio BETWEEN 0 AND 100000 AND (debt_to_equity = 0 OR ev > mkt_cap)")
-    return I.rounded(hits.drop("p_year"), adv_20d=1)
+    return I.rounded(hits, adv_20d=1)
 
 
 @query
@@ -353,16 +385,20 @@ def worklist(spark, d):
 
 @query
 def hit_list(spark, d):
-    """Companies count as covered once they have an annual net income."""
-    annual = I.facts(spark, d).where(F.col("is_fy") & (F.col("tag") == "net_income"))
-    return registry.hit_list(I.meta(spark, d), I.prices(spark, d), annual)
+    """The registry also lists every tenth customer as a company that never filed and never traded."""
+    silent = D.table(spark, d, "customer").where("c_custkey % 10 = 0").select(
+        F.concat(F.lit("C"), F.col("c_custkey")).alias("permaTicker"),
+        F.concat(F.lit("S"), F.col("c_custkey")).alias("ticker"),
+        F.lpad((F.col("c_custkey") + 5_000_000).cast("string"), 10, "0").alias("cik"))
+    listed = I.meta(spark, d).select("permaTicker", "ticker", "cik").unionByName(silent)
+    return registry.hit_list(listed, I.prices(spark, d), I.facts(spark, d))
 
 
 @query
 def union_dedupe_(spark, d):
-    """The first vendor's bars up to 1998 win; the second vendor supplies the other days."""
+    """The first vendor's bars win. It lacks every day of the month that 3 divides; the second has them."""
     columns = ["permaTicker", "p_date", "close", "adjClose"]
-    first = I.prices(spark, d).where(F.col("p_date") < dt.date(1999, 1, 1)).select(*columns)
+    first = I.prices(spark, d).where(F.dayofmonth("p_date") % 3 != 0).select(*columns)
     second = D.adapter(spark, d, D.FX_PRICES_ALT).select(*columns)
     return union_dedupe([first, second], ["permaTicker", "p_date"])
 
@@ -382,6 +418,16 @@ def audit_survivorship(spark, d):
     return audits.survivorship(_matrix(spark, d))
 
 
+@query
+def audit_lost_securities(spark, d):
+    return audits.lost_securities(I.prices(spark, d), _matrix(spark, d))
+
+
+@query
+def audit_trailing_gaps(spark, d):
+    return audits.trailing_gaps(I.prices(spark, d))
+
+
 @query
 def audit_cap_bounds(spark, d):
     ceilings = D.table(spark, d, "supplier").select(
@@ -444,7 +490,7 @@ def _land_prices(spark, d, path):
 
 @query
 def price_files(spark, d):
-    landing, silver = scratch_folder(spark, "bronze-prices"), scratch_folder(spark, "silver-prices")
+    landing, silver = work_folder(spark, "bronze-prices"), work_folder(spark, "silver-prices")
     _land_prices(spark, d, landing)
     prices, _ = bronze.read_prices(spark, landing)
     sinks.write_table(prices, silver)
@@ -472,7 +518,7 @@ def _land_facts(spark, d, path):
 
 @query
 def fact_files(spark, d):
-    landing = scratch_folder(spark, "bronze-facts")
+    landing = work_folder(spark, "bronze-facts")
     _land_facts(spark, d, landing)
     entries, _ = bronze.read_facts(spark, landing)
     return clean_facts(entries)
@@ -494,7 +540,7 @@ def registry_files(spark, d):
     Here every security gets a company id of its own, so that each has one profile.
     """
     listed = I.meta(spark, d).withColumn("company", F.substring("permaTicker", 2, 6).cast("bigint"))
-    vendor, tracker, profiles = (scratch_folder(spark, n) for n in ("vendor", "tracker", "profiles"))
+    vendor, tracker, profiles = (work_folder(spark, n) for n in ("vendor", "tracker", "profiles"))
     listed.select("permaTicker", "ticker", F.col("company").cast("double").alias("cik"),
                   F.lit(SECTOR_PLACEHOLDERS[0]).alias("sector"),
                   F.lit(None).cast("string").alias("industry")).write.json(vendor)
@@ -516,7 +562,7 @@ def registry_files(spark, d):
 @query
 def quarantined_files(spark, d):
     """Profiles of one region arrive cut off; the reader sets those files aside and keeps the rest."""
-    landing = scratch_folder(spark, "profiles")
+    landing = work_folder(spark, "profiles")
     whole = I.meta(spark, d).withColumn("company", F.col("cik")).withColumn("whole", _profile_text())
     cut = F.expr("substring(whole, 1, length(whole) - 1)")
     documents = whole.groupBy("cik").agg(F.max(
@@ -528,16 +574,14 @@ def quarantined_files(spark, d):
 
 @query
 def export_history(spark, d):
-    path = scratch_folder(spark, "history")
+    path = work_folder(spark, "history")
     sinks.export_history(_matrix(spark, d), "T11", path)
-    schema = ", ".join(f"{c} {t}" for c, t in _matrix(spark, d).dtypes)
-    return spark.read.csv(path, header=True, schema=schema).select(
-        "ticker", "cik", "p_date", "close", "adjClose", "volume")
+    return I.rounded(spark.read.csv(path, header=True, schema=MATRIX), adv_20d=1)
 
 
 @query
 def export_research(spark, d):
-    path = scratch_folder(spark, "research")
+    path = work_folder(spark, "research")
     sinks.export_research(sinks.research_extract(
         _matrix(spark, d), start=dt.date(1997, 1, 1), columns=["pe_ratio", "fcf_yield"],
         min_adv=40000), path)
@@ -559,23 +603,23 @@ _CUT = dt.date(1999, 1, 1)
 def stream_prices(spark, d):
     """History up to 1998 is known; a landing with every bar twice adds exactly the later days."""
     bars = I.prices(spark, d).select(*_BAR)
-    landing, target, checkpoint = (scratch_folder(spark, n) for n in ("landing", "target", "offsets"))
+    landing, target, checkpoint = (work_folder(spark, n) for n in ("landing", "target", "offsets"))
     bars.unionByName(bars).repartition(4, F.year("p_date")).write.parquet(landing)
     history = bars.where(F.col("p_date") < _CUT)
     incremental.ingest_prices(spark, landing, bars.schema, target=target, checkpoint=checkpoint,
                               history=history, files_per_batch=2)
-    return history.unionByName(incremental.read_increments(spark, target).select(*_BAR))
+    return history.unionByName(incremental.read_increments(spark, target, bars.schema).select(*_BAR))
 
 
 @query
 def stream_facts(spark, d):
     facts = I.facts(spark, d)
-    landing, target, checkpoint = (scratch_folder(spark, n) for n in ("landing", "target", "offsets"))
+    landing, target, checkpoint = (work_folder(spark, n) for n in ("landing", "target", "offsets"))
     facts.unionByName(facts).repartition(4, F.year("filed_date")).write.parquet(landing)
     history = facts.where(F.col("filed_date") < _CUT)
     incremental.ingest_facts(spark, landing, facts.schema, target=target, checkpoint=checkpoint,
                              history=history, files_per_batch=2)
-    return history.unionByName(incremental.read_increments(spark, target).select(*facts.columns))
+    return history.unionByName(incremental.read_increments(spark, target, facts.schema))
 
 
 @query
@@ -584,7 +628,7 @@ def incremental_matrix(spark, d):
     prices, facts, meta = I.prices(spark, d), I.facts(spark, d), I.meta(spark, d)
     new_prices = prices.where(F.col("p_date") >= _CUT)
     new_facts = facts.where(F.col("filed_date") >= _CUT)
-    path = scratch_folder(spark, "matrix")
+    path = work_folder(spark, "matrix")
     old = (prices.where(F.col("p_date") < _CUT), facts.where(F.col("filed_date") < _CUT))
     sinks.write_matrix(incremental.build_matrix(*old, meta, I.OPTIONS), path)
     scope = incremental.rebuild_scope(new_prices, new_facts, meta)

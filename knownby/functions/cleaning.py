@@ -102,7 +102,7 @@ def security_id(perma_ticker: Column, ticker: Column) -> Column:
 
 def matches_pattern(text: Column, pattern: str) -> Column:
     """Case-insensitive regular-expression search."""
-    return F.lower(text).rlike(pattern.lower())
+    return text.rlike(f"(?i){pattern}")
 
 
 def lacks_sector(sector: Column) -> Column:

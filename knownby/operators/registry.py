@@ -11,6 +11,13 @@ from knownby.functions import cleaning as C
 from knownby.sources.taxonomy import SUCCESS_STATUS, TERMINAL_STATUSES
 
 
+#: Statuses that end the work on a column; missing filings say nothing about prices.
+TERMINAL = {
+    "status_prices": [s for s in TERMINAL_STATUSES if s != "failed_no_xbrl"],
+    "status_fundamentals": list(TERMINAL_STATUSES),
+}
+
+
 def status_upsert(registry: DataFrame, updates: DataFrame, *, key: str, column: str,
                   order: Sequence[str]) -> DataFrame:
     """Overwrite ``column`` with the last non-null ``status`` per key; others keep what they had.
@@ -35,7 +42,7 @@ def worklist(registry: DataFrame, kind: str) -> DataFrame:
         return registry.where(has_company & C.lacks_sector(F.col("sector")))
     if kind == "prices":
         status = F.coalesce("status_prices", F.lit(""))
-        return registry.where(~status.isin(*[s for s in TERMINAL_STATUSES if s != "failed_no_xbrl"]))
+        return registry.where(~status.isin(*TERMINAL["status_prices"]))
     if kind == "fundamentals":
         done = F.coalesce(F.col("status_fundamentals") == SUCCESS_STATUS, F.lit(False))
         return registry.where(has_company & ~done)
@@ -45,7 +52,7 @@ def worklist(registry: DataFrame, kind: str) -> DataFrame:
 def completeness(registry: DataFrame) -> DataFrame:
     """One row: how many securities still lack prices, and how many with a company lack filings."""
     def open_status(column: str):
-        return ~F.coalesce(F.col(column), F.lit("")).isin(*TERMINAL_STATUSES)
+        return ~F.coalesce(F.col(column), F.lit("")).isin(*TERMINAL[column])
 
     return registry.agg(
         F.count_if(open_status("status_prices")).alias("missing_prices"),

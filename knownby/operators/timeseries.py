@@ -47,6 +47,13 @@ def day_gap(day: Column, rows: int, window: WindowSpec) -> Column:
     return F.date_diff(day, F.lag(day, rows).over(window))
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` in which a null key meets a null key."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
+    return left.join(renamed, same).drop(*[f"_r_{k}" for k in keys])
+
+
 def _segment_of(day: Column, days: int) -> Column:
     return F.floor(F.unix_date(day.cast("date")) / days).cast("int")
 
@@ -109,7 +116,8 @@ def forward_fill(df: DataFrame, *, by: Sequence[str], order: str, columns: Seque
     keys = [*by, _SEGMENT]
     cut = df.withColumn(_SEGMENT, _segment_of(F.col(order), segment_days))
     closing = cut.groupBy(*keys).agg(*[
-        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_carry_{c}")
+        # The order stands in a struct, so that a row without a day counts, as the first one.
+        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(order))).alias(f"_carry_{c}")
         for c in columns
     ])
     before = axis(by, [_SEGMENT]).rowsBetween(W.unboundedPreceding, -1)
@@ -117,7 +125,7 @@ def forward_fill(df: DataFrame, *, by: Sequence[str], order: str, columns: Seque
         F.last(f"_carry_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in columns
     ])
     window = axis(keys, [order])
-    filled = cut.join(carry, keys).withColumns({
+    filled = _null_safe_join(cut, carry, keys).withColumns({
         c: F.coalesce(last_known(F.col(c), window), F.col(f"_carry_{c}")) for c in columns
     })
     return filled.select(*df.columns)
@@ -143,8 +151,7 @@ def in_chunks(df: DataFrame, *, by: Sequence[str], order: str, lookback: int,
         F.floor((F.col("_start") + F.col("_rows") - 1 + lookback) / chunk_rows).alias("_last"),
     )
     return (
-        df.withColumn("_bucket", bucket)
-        .join(slices, [*by, "_bucket"])
+        _null_safe_join(df.withColumn("_bucket", bucket), slices, [*by, "_bucket"])
         .withColumn("_chunk", F.explode(F.sequence("_first", "_last")))
         .withColumn("_own", F.col("_chunk") == F.col("_first"))
         .drop("_bucket", "_first", "_last")

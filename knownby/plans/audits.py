@@ -11,18 +11,47 @@ from knownby.operators.timeseries import axis
 
 def survivorship(matrix: DataFrame) -> DataFrame:
     """Securities whose rows end before the table does, with the last day seen."""
-    ends = matrix.groupBy("permaTicker").agg(
-        F.max_by("ticker", "p_date").alias("ticker"), F.max("p_date").alias("last_seen"))
-    return ends.where(F.col("last_seen") < matrix.agg(F.max("p_date")).scalar())
+    ends = matrix.groupBy("permaTicker").agg(F.max(F.struct("p_date", "ticker")).alias("end"))
+    last = ends.agg(F.max("end.p_date")).scalar()  # over the same grouped rows, so one scan serves both
+    return ends.where(F.col("end.p_date") < last).select(
+        "permaTicker", F.col("end.ticker").alias("ticker"), F.col("end.p_date").alias("last_seen"))
+
+
+def lost_securities(prices: DataFrame, matrix: DataFrame) -> DataFrame:
+    """Securities that have bars but no row in the daily table, with the last day they traded."""
+    ends = prices.groupBy("permaTicker").agg(F.max("p_date").alias("last_seen"))
+    return ends.join(matrix.select("permaTicker").distinct(), "permaTicker", "left_anti")
+
+
+def trailing_gaps(prices: DataFrame) -> DataFrame:
+    """Market sessions since each security's last bar, for those that missed any."""
+    ends = prices.groupBy("permaTicker").agg(F.max("p_date").alias("last_seen"))
+    numbered = _sessions(prices)
+    last = numbered.agg(F.max("session")).scalar()
+    return ends.join(F.broadcast(numbered.withColumnRenamed("p_date", "last_seen")), "last_seen").select(
+        "permaTicker", "last_seen", (last - F.col("session")).cast("bigint").alias("missing")).where("missing > 0")
+
+
+def _sessions(prices: DataFrame) -> DataFrame:
+    """The market calendar, numbered: all days any security traded.
+
+    One group holds it and joins broadcast it: its size is bounded by the days of recorded history (tens
+    of thousands of rows for a century), however large the price table grows.
+    """
+    days = prices.where(F.col("p_date").isNotNull()).select("p_date").distinct()
+    return days.withColumn("session", F.row_number().over(axis([], ["p_date"])))
 
 
 def cap_bounds(matrix: DataFrame, ceilings: DataFrame) -> DataFrame:
-    """Yearly mean market cap against ceilings(permaTicker, ceiling): look-ahead inflates old caps."""
+    """Yearly mean market cap against ceilings(permaTicker, ceiling): look-ahead inflates old caps.
+
+    Without a cap there is nothing to pass: ``passed`` is null.
+    """
     yearly = matrix.groupBy("permaTicker", F.year("p_date").alias("year")).agg(
         F.avg("mkt_cap").alias("mean_cap"))
     return yearly.join(ceilings, "permaTicker").select(
         "permaTicker", "year", "mean_cap", "ceiling",
-        F.coalesce(F.col("mean_cap") <= F.col("ceiling"), F.lit(True)).alias("passed"))
+        (F.col("mean_cap") <= F.col("ceiling")).alias("passed"))
 
 
 def split_continuity(matrix: DataFrame, actions: DataFrame, tolerance: float = 0.05) -> DataFrame:
@@ -37,14 +66,8 @@ def split_continuity(matrix: DataFrame, actions: DataFrame, tolerance: float = 0
 
 
 def session_gaps(prices: DataFrame) -> DataFrame:
-    """Runs of market sessions missing inside a security's life.
-
-    The market calendar is the set of all days any security traded. It is numbered in one group and
-    broadcast: its size is bounded by the days of recorded history (tens of thousands of rows for a
-    century), however large the price table grows.
-    """
-    days = prices.select("p_date").distinct()
-    numbered = days.withColumn("session", F.row_number().over(axis([], ["p_date"])))
+    """Runs of market sessions missing inside a security's life."""
+    numbered = _sessions(prices)
     life = axis(["permaTicker"], ["p_date"])
     return (
         prices.select("permaTicker", "p_date").join(F.broadcast(numbered), "p_date")
@@ -84,7 +107,7 @@ def coverage(matrix: DataFrame, facts: DataFrame) -> DataFrame:
 def ghosts(prices: DataFrame, idle_days: int = 30) -> DataFrame:
     """Last bar of every security and whether it has been silent for longer than ``idle_days``."""
     last = prices.groupBy("permaTicker").agg(F.max("p_date").alias("last_seen"))
-    idle = F.date_diff(prices.agg(F.max("p_date")).scalar(), F.col("last_seen"))
+    idle = F.date_diff(last.agg(F.max("last_seen")).scalar(), F.col("last_seen"))
     return last.select("permaTicker", "last_seen", idle.cast("bigint").alias("idle_days"),
                        (idle > idle_days).alias("inactive"))
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from knownby.functions import cleaning as C
 from knownby.functions import ratios as R
-from knownby.operators.dedupe import daily_axis
+from knownby.operators.dedupe import daily_axis, last_row_per_key
 from knownby.operators.pit import filing_state
 from knownby.operators.timeseries import axis, lag_return, last_known, strict_rolling
 from knownby.options import DEFAULT, EngineOptions
@@ -22,12 +22,20 @@ FILLED = [*MATRIX_TAGS, *[f"{t}_fy" for t in FY_TAGS], *[f"{t}_ttm" for t in TTM
 _BAR = ["close", "adjClose", "volume", "adjVolume"]
 
 
+def latest_listing(meta: DataFrame) -> DataFrame:
+    """One row per permaTicker: the last by ``last_update`` if there is one, then by its values."""
+    rest = [c for c in meta.columns if c != "permaTicker"]
+    order = [c for c in ("last_update",) if c in rest]
+    return last_row_per_key(meta, ["permaTicker"], [*order, *[c for c in rest if c not in order]])
+
+
 def universe(meta: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """Common-stock securities with a normalised company id and labelled sector and industry.
 
-    ``facts`` restricts it to companies that have any. The input holds one row per permaTicker.
+    ``facts`` restricts it to companies that have any. A registry may list an id again: the last
+    listing counts, also if it is no common stock.
     """
-    kept = meta.where(C.is_common_stock(F.col("ticker"))).select(
+    kept = latest_listing(meta).where(C.is_common_stock(F.col("ticker"))).select(
         "permaTicker", "ticker",
         C.normalize_cik(F.col("cik")).alias("cik"),
         F.coalesce(F.col("sector"), F.lit("Unknown")).alias("sector"),

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from knownby.functions.cleaning import all_of, matches_pattern, non_zero
@@ -12,19 +13,26 @@ from knownby.operators.dedupe import last_row_per_key
 from knownby.operators.timeseries import asof_join, axis
 
 PERFORMANCE_TAGS = ["revenue", "net_income", "operating_income", "shares_outstanding"]
-ANNUAL_ROWS, INTERIM_ROWS, MONTHS = 10, 24, 24
 
 
 def _of(matrix: DataFrame, ticker: str | None) -> DataFrame:
     return matrix if ticker is None else matrix.where(F.col("ticker") == ticker)
 
 
+def _last_year(matrix: DataFrame) -> DataFrame:
+    """The newest year that holds rows, of a table stored by year; years come from its file names."""
+    years = {int(m[1]) for f in matrix.inputFiles() if (m := re.search(r"/p_year=(\d+)/", f))}
+    for year in sorted(years, reverse=True):
+        rows = matrix.where(F.col("p_year") == year)
+        if not rows.isEmpty():  # false for the first one, unless the table was filtered before
+            return rows
+    return matrix
+
+
 def on_latest_date(matrix: DataFrame) -> DataFrame:
-    """Rows of the last session in the table; the date stays inside the plan as a scalar subquery."""
-    rows = matrix.where(F.col("p_date") == matrix.agg(F.max("p_date")).scalar())
-    if "p_year" in matrix.columns:  # lets a table partitioned by year read one partition only
-        rows = rows.where(F.col("p_year") == matrix.agg(F.max("p_year")).scalar())
-    return rows
+    """Rows of the last session in the table; a table stored by year is read in its last year only."""
+    rows = _last_year(matrix) if "p_year" in matrix.columns else matrix
+    return rows.where(F.col("p_date") == rows.agg(F.max("p_date")).scalar()).drop("p_year")
 
 
 def status(matrix: DataFrame) -> DataFrame:
@@ -54,11 +62,17 @@ def profile_header(matrix: DataFrame, ticker: str | None = None) -> DataFrame:
     return latest.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in figures})
 
 
+def _newest(rows: DataFrame, order: WindowSpec, n: int | None) -> DataFrame:
+    if n is None:
+        return rows
+    return rows.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= n).drop("_rank")
+
+
 def performance_history(matrix: DataFrame, facts: DataFrame, annual: bool,
-                        ticker: str | None = None) -> DataFrame:
-    """Newest fiscal years, or other period ends, with the valuation on the day each one ended.
+                        ticker: str | None = None, newest_rows: int | None = None) -> DataFrame:
+    """Fiscal years, or other period ends, with the valuation on the day each one ended.
 
-    The latest filed value counts. ``growth_prev`` compares with the next older row shown and
+    ``newest_rows`` keeps each security's newest ones only. The latest filed value counts. ``growth_prev`` compares with the next older row shown and
     ``growth_4`` with the fourth older one; both are taken after the row limit. The non-annual side
     also holds point-in-time values.
     """
@@ -71,10 +85,7 @@ def performance_history(matrix: DataFrame, facts: DataFrame, annual: bool,
         .join(securities, "cik")
     )
     newest = axis(["permaTicker"], [F.desc("end_date")])
-    shown = (
-        periods.withColumn("_rank", F.row_number().over(newest))
-        .where(F.col("_rank") <= (ANNUAL_ROWS if annual else INTERIM_ROWS)).drop("_rank")
-    )
+    shown = _newest(periods, newest, newest_rows)
     valued = asof_join(shown, own, by=["permaTicker"], left_on="end_date", right_on="p_date",
                        values=["pe_ratio", "pb_ratio", "mkt_cap", "close"])
     revenue, income = F.col("revenue"), F.col("net_income")
@@ -91,8 +102,12 @@ def performance_history(matrix: DataFrame, facts: DataFrame, annual: bool,
               "growth_4", "pe_ratio", "pb_ratio", "mkt_cap", "close")
 
 
-def valuation_history(matrix: DataFrame, ticker: str | None = None) -> DataFrame:
-    """Month by month: closing price and cap, mean multiples and growth; newest months only."""
+def valuation_history(matrix: DataFrame, ticker: str | None = None,
+                      newest_months: int | None = None) -> DataFrame:
+    """Month by month: closing price and cap, mean multiples and growth.
+
+    ``newest_months`` keeps each security's newest ones only.
+    """
     months = (
         _of(matrix, ticker)
         .groupBy("permaTicker", F.trunc("p_date", "month").alias("month"))
@@ -103,19 +118,16 @@ def valuation_history(matrix: DataFrame, ticker: str | None = None) -> DataFrame
              F.max_by("mkt_cap", "p_date").alias("mkt_cap"),
              F.avg("rev_growth_yoy").alias("rev_growth_yoy"))
     )
-    newest = axis(["permaTicker"], [F.desc("month")])
-    return (
-        months.withColumn("_rank", F.row_number().over(newest))
-        .where(F.col("_rank") <= MONTHS).drop("_rank")
-    )
+    return _newest(months, axis(["permaTicker"], [F.desc("month")]), newest_months)
 
 
 def screen(matrix: DataFrame, *, date: dt.date | None = None, pe_max: float | None = None,
            roe_min: float | None = None, mom_min: float | None = None, sector: str | None = None,
-           sql: str | None = None, limit: int | None = 20) -> DataFrame:
+           sql: str | None = None, limit: int | None = None) -> DataFrame:
     """Securities meeting strict thresholds on one session, the table's last one by default.
 
-    ``sql`` is a predicate over the table's columns. ``limit=None`` returns every match.
+    ``sql`` is a predicate over the table's columns. Every match is returned unless ``limit`` asks
+    for the first ones by ticker.
     """
     if date is None:
         rows = on_latest_date(matrix)
@@ -136,6 +148,7 @@ def screen(matrix: DataFrame, *, date: dt.date | None = None, pe_max: float | No
         rows = rows.where(all_of(conditions))
     if sql is not None:
         rows = rows.where(sql)
+    rows = rows.drop("p_year")
     return rows if limit is None else rows.orderBy("ticker", "permaTicker").limit(limit)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -26,14 +25,16 @@ def build_session(app: str = "knownby", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def scratch_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder all executors can reach.
+WORK_FOLDER = "spark.knownby.workDir"
 
-    It lies below ``spark.checkpoint.dir`` when the cluster names one; only where that is unset, as
-    in tests on one machine, a temporary folder stands in.
+
+def work_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder below the one ``spark.knownby.workDir`` names.
+
+    The setting has no default: driver and executors must all reach the folder, which only the caller
+    can know.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="knownby-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    root = spark.conf.get(WORK_FOLDER, None)
+    if not root:
+        raise ValueError(f"{WORK_FOLDER} must name a folder that driver and executors share")
+    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from knownby.functions import cleaning as C
+from knownby.operators.dedupe import last_row_per_key
 from knownby.schemas import COMPANY_FACTS, COMPANY_PROFILE, PRICE_VALUES, PRICES, REGISTRY
 from knownby.sources.taxonomy import PENDING_STATUS, SUCCESS_STATUS, sec_tags
 
@@ -158,9 +159,10 @@ def read_profiles(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
 def enrich_registry(registry: DataFrame, profiles: DataFrame) -> DataFrame:
     """Fill industry code, sector and industry of listed companies that lack a sector.
 
-    ``profiles`` holds one row per company.
+    Of several profiles of a company the one with the greatest code and description counts.
     """
-    found = profiles.select(
+    one = last_row_per_key(profiles.select("cik", "sic", "sicDescription"), ["cik"], ["sic", "sicDescription"])
+    found = one.select(
         F.col("cik").alias("_cik"), F.col("sic").alias("_sic"),
         F.col("sicDescription").alias("_description"),
         C.classify_sic(F.col("sic"), F.col("sicDescription")).alias("_class"))

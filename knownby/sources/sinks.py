@@ -49,7 +49,7 @@ def read_matrix(spark: SparkSession, path: str) -> DataFrame:
 
 def export_history(matrix: DataFrame, ticker: str, path: str) -> None:
     """One security's rows as CSV with a header."""
-    matrix.where(F.col("ticker") == ticker).write.mode("overwrite").csv(path, header=True)
+    matrix.where(F.col("ticker") == ticker).drop("p_year").write.mode("overwrite").csv(path, header=True)
 
 
 def research_extract(matrix: DataFrame, *, start: dt.date | None = None,

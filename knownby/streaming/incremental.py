@@ -7,10 +7,10 @@ after a lost executor or driver replaces that folder instead of appending twice.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,13 +25,30 @@ FACT_KEYS = ["cik", "tag", "end_date", "filed_date", "fp", "is_fy", "is_quarter"
 
 
 def _increments(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
-    """Rows of all other batches; an absent folder is an empty table."""
+    """Rows of all other batches."""
+    return _stored(spark, path, schema).where(F.col("batch_id") != batch_id).drop("batch_id")
+
+
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All batches with their ``batch_id``; an absent folder is an empty table, any other fault an error."""
     full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    try:
-        rows = spark.read.schema(full).parquet(path)
-    except AnalysisException:
-        rows = spark.createDataFrame([], full)
-    return rows.where(F.col("batch_id") != batch_id).drop("batch_id")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(path)
+
+
+def _in_months(day: str, months: list[dt.date]) -> Column:
+    """Whether ``day`` lies in one of these months; runs of months become one range, which scans can use."""
+    found, start = F.lit(False), None
+    ordered = sorted(months)
+    for month, after in zip(ordered, [*ordered[1:], None]):
+        start = start or month
+        ends = (month.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
+        if after != ends:
+            found = found | ((F.col(day) >= F.lit(start)) & (F.col(day) < F.lit(ends)))
+            start = None
+    return found
 
 
 def ingest(landing: DataFrame, *, history: DataFrame | None, target: str, checkpoint: str,
@@ -39,21 +56,25 @@ def ingest(landing: DataFrame, *, history: DataFrame | None, target: str, checkp
     """Append the landing stream's unseen keys to ``target``; runs until the landing is drained.
 
     ``history`` is never touched: it only supplies keys already known. The known keys read per batch
-    are limited to the batch's own range of ``day``, which prunes partitions and row groups.
+    are limited to the batch's own months of ``day``, so a late row does not widen the range to all since.
     """
     schema = landing.schema
 
     def append(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        low, high = batch.agg(F.min(day), F.max(day)).first()
-        if low is None:
+        months = [r[0] for r in batch.select(F.trunc(day, "month")).distinct().collect()]  # of the calendar
+        if not months:
             return
-        in_range = F.col(day).between(F.lit(low), F.lit(high))
+        in_range = _in_months(day, [m for m in months if m is not None])
+        if None in months:
+            in_range = in_range | F.col(day).isNull()
         known = _increments(spark, target, schema, batch_id).where(in_range).select(*keys)
         if history is not None:
             known = known.unionByName(history.where(in_range).select(*keys))
         rest = [c for c in batch.columns if c not in keys]
-        fresh = last_row_per_key(batch, keys, rest).join(known, list(keys), "left_anti")
+        fresh = last_row_per_key(batch, keys, rest).join(
+            known.withColumnsRenamed({k: f"_k_{k}" for k in keys}),
+            [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], "left_anti")
         fresh.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
     query = (
@@ -88,8 +109,9 @@ def ingest_facts(spark: SparkSession, landing: str, schema: T.StructType, *, tar
            checkpoint=checkpoint, keys=FACT_KEYS, day="filed_date")
 
 
-def read_increments(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target).drop("batch_id")
+def read_increments(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """All rows ingested so far; none after an empty landing."""
+    return _stored(spark, target, schema).drop("batch_id")
 
 
 def rebuild_scope(new_prices: DataFrame | None, new_facts: DataFrame | None,

@@ -11,10 +11,11 @@ from knownby.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("knownby-tests", "local[4]", **{
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-        "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"})
+        "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g",
+        "spark.knownby.workDir": str(tmp_path_factory.mktemp("work"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from knownby.contract import inputs
-from knownby.session import scratch_folder
+from knownby.session import work_folder
 from knownby.sources import bronze, sinks
 from knownby.streaming import incremental
 
@@ -76,12 +76,12 @@ def test_json_records_keep_nulls(spark):
 
 def test_ingest_is_idempotent(spark):
     bars = inputs.prices(spark, "/root/testdata/sf0.001").select("permaTicker", "p_date", "close")
-    landing, target = scratch_folder(spark, "landing"), scratch_folder(spark, "target")
+    landing, target = work_folder(spark, "landing"), work_folder(spark, "target")
     bars.write.parquet(landing)
     for attempt in range(2):  # a second run without its checkpoint replays the same batch ids
         incremental.ingest_prices(spark, landing, bars.schema, target=target,
-                                  checkpoint=scratch_folder(spark, f"offsets{attempt}"))
-    got = incremental.read_increments(spark, target).select(*bars.columns)
+                                  checkpoint=work_folder(spark, f"offsets{attempt}"))
+    got = incremental.read_increments(spark, target, bars.schema).select(*bars.columns)
     assert got.exceptAll(bars).count() == 0 and bars.exceptAll(got).count() == 0
 
 
