@@ -29,6 +29,8 @@ FAMILIES = {"en": "germanic", "de": "germanic", "nl": "germanic", "sv": "germani
             "fr": "romance", "es": "romance", "it": "romance", "pt": "romance", "ro": "romance", "ca": "romance"}
 #: Training documents of one language, at most.
 PER_LANGUAGE = 500
+#: The sample is found by counts of 2**CELL_BITS ranges of the hash.
+CELL_BITS = 10
 DIM_BITS = 12
 UND = "und"
 _LETTER = regex.compile(r"\p{L}")
@@ -119,8 +121,13 @@ def held_out():
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE, families: Mapping[str, str] = FAMILIES) -> LanguageModel:
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out())
+    # Counts of hash ranges tell which ranges the smallest hashes lie in; only these rows meet by language.
+    ids = known.select("doc_id", "lang").distinct().withColumn("cell", F.expr(f"shiftright(xxhash64(doc_id), {64 - CELL_BITS})"))
+    held = ids.groupBy("lang", "cell").agg(F.count("*").alias("n")) \
+        .withColumn("upto", F.expr("sum(n) OVER (PARTITION BY lang ORDER BY cell ROWS UNBOUNDED PRECEDING)"))
+    near = ids.join(held.where(F.col("upto") - F.col("n") < per_language).select("lang", "cell"), ["lang", "cell"], "left_semi")
     first = "row_number() OVER (PARTITION BY lang ORDER BY xxhash64(doc_id), doc_id)"
-    chosen = known.select("doc_id", "lang").distinct().withColumn("n", F.expr(first)).where(f"n <= {per_language}") \
+    chosen = near.withColumn("n", F.expr(first)).where(f"n <= {per_language}") \
         .select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"))
     rows = known.select("doc_id", "lang", "text").join(
         F.broadcast(chosen), (F.col("doc_id") == F.col("__id")) & (F.col("lang") == F.col("__lang")))  # PER_LANGUAGE of each
