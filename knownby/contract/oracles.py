@@ -2,17 +2,52 @@
 
 from __future__ import annotations
 
-from knownby.schemas import MATRIX_COLUMNS
 from knownby.sources import driver_tables as D
-from knownby.sources.taxonomy import FY_TAGS, MATRIX_TAGS, SIC_RULES, TTM_TAGS
 
+# The filing tags of the test tables, with their order of preference.
 _SOURCE_TAGS = """VALUES
-  ('Revenues', 'revenue', false, 'USD'), ('NetIncomeLoss', 'net_income', false, 'USD'),
-  ('OperatingIncomeLoss', 'operating_income', false, 'USD'),
-  ('NetCashProvidedByUsedInOperatingActivities', 'operating_cash_flow', false, 'USD'),
-  ('PaymentsToAcquirePropertyPlantAndEquipment', 'capex', false, 'USD'),
-  ('StockholdersEquity', 'equity', true, 'USD'), ('Assets', 'total_assets', true, 'USD'),
-  ('CommonStockSharesOutstanding', 'shares_outstanding', true, 'shares')"""
+  ('Revenues', 'revenue', 0, false, 'USD'), ('SalesRevenueNet', 'revenue', 1, false, 'USD'),
+  ('NetIncomeLoss', 'net_income', 0, false, 'USD'), ('ProfitLoss', 'net_income', 2, false, 'USD'),
+  ('CostOfGoodsAndServicesSold', 'cogs', 0, false, 'USD'), ('CostOfRevenue', 'cogs', 1, false, 'USD'),
+  ('OperatingIncomeLoss', 'operating_income', 0, false, 'USD'),
+  ('ResearchAndDevelopmentExpense', 'rd_expense', 0, false, 'USD'),
+  ('SellingGeneralAndAdministrativeExpense', 'sga_expense', 0, false, 'USD'),
+  ('NetCashProvidedByUsedInOperatingActivities', 'operating_cash_flow', 0, false, 'USD'),
+  ('PaymentsToAcquirePropertyPlantAndEquipment', 'capex', 0, false, 'USD'),
+  ('StockholdersEquity', 'equity', 0, true, 'USD'),
+  ('StockholdersEquityIncludingPortionAttributableToNoncontrollingInterest', 'equity', 1, true, 'USD'),
+  ('Assets', 'total_assets', 0, true, 'USD'),
+  ('CashAndCashEquivalentsAtCarryingValue', 'cash', 0, true, 'USD'),
+  ('LongTermDebt', 'long_term_debt', 0, true, 'USD'),
+  ('LongTermDebtNoncurrent', 'long_term_debt', 1, true, 'USD'),
+  ('ShortTermBorrowings', 'short_term_debt', 0, true, 'USD'),
+  ('CommonStockSharesOutstanding', 'shares_outstanding', 0, true, 'shares')"""
+
+# Tags of the daily table, those with annual and with trailing forms, and its columns.
+MATRIX_TAGS = ["revenue", "net_income", "cogs", "operating_income", "rd_expense", "sga_expense",
+               "operating_cash_flow", "capex", "shares_outstanding", "equity", "total_assets", "cash",
+               "long_term_debt", "short_term_debt"]
+FY_TAGS = ["revenue", "net_income", "cogs", "operating_income", "rd_expense", "sga_expense"]
+TTM_TAGS = ["net_income", "revenue", "operating_income", "operating_cash_flow", "capex"]
+MATRIX_COLUMNS = [
+    "ticker", "cik", "p_date", "close", "adjClose", "volume", "sector", "industry", "mkt_cap", "pe_ratio",
+    "pb_ratio", "roe", "roa", "gross_margin", "rev_growth_yoy", "mom_12m", "adv_20d", "debt_to_equity",
+    "fcf_yield", "ev", "ev_to_ebit", "revenue", "net_income", "cogs", "operating_income", "rd_expense",
+    "sga_expense", "operating_cash_flow", "capex", "revenue_fy", "net_income_fy", "cogs_fy",
+    "operating_income_fy", "rd_expense_fy", "sga_expense_fy", "shares_outstanding", "equity",
+    "total_assets", "cash", "long_term_debt", "short_term_debt"]
+
+# Industry-code ranges, the first that holds a code counts; no label keeps the description.
+SIC_RULES = [
+    (2830, 2836, "Healthcare", None), (8000, 8099, "Healthcare", None),
+    (3570, 3579, "Technology", None), (3660, 3679, "Technology", None), (7370, 7379, "Technology", None),
+    (6798, 6798, "Real Estate", "REIT"),
+    (100, 999, "Consumer Defensive", None), (1000, 1499, "Basic Materials", None),
+    (1500, 1799, "Industrials", "Construction"), (2000, 3999, "Industrials", "Manufacturing"),
+    (4000, 4899, "Industrials", "Transportation & Comm"), (4900, 4999, "Utilities", None),
+    (5000, 5199, "Consumer Cyclical", "Wholesale"), (5200, 5999, "Consumer Cyclical", "Retail"),
+    (6000, 6799, "Financial Services", None), (7000, 8999, "Consumer Cyclical", "Services"),
+]
 
 _FY = list(dict.fromkeys([*FY_TAGS, *TTM_TAGS]))
 _SNAPSHOT = [*MATRIX_TAGS, *[f"{t}_fy" for t in _FY]]
@@ -44,20 +79,21 @@ _CTES: dict[str, tuple[list[str], str]] = {
     "fx_facts_raw": ([], D.FX_FACTS_RAW),
     "fx_meta": ([], D.FX_META),
     "classified": (["fx_facts_raw"], f"""
-        SELECT cik, tag, end_date, filed_date, val, pos, is_instant,
+        SELECT cik, tag, end_date, filed_date, val, priority * 1000000000000 + pos AS place, is_instant,
+               coalesce(nullif(fp, ''), 'Unknown') AS fp,
                NOT is_instant AND coalesce(end_date - start_date BETWEEN 80 AND 105, false)
                  AS is_quarter,
                NOT is_instant AND coalesce(end_date - start_date BETWEEN 350 AND 380, false)
                  AS is_fy
         FROM fx_facts_raw
-        JOIN ({_SOURCE_TAGS}) AS m(sec_tag, tag, is_instant, want_unit) USING (sec_tag)
+        JOIN ({_SOURCE_TAGS}) AS m(sec_tag, tag, priority, is_instant, want_unit) USING (sec_tag)
         WHERE unit = want_unit AND val IS NOT NULL AND end_date IS NOT NULL
           AND filed_date IS NOT NULL"""),
     "facts": (["classified"], """
-        SELECT cik, tag, arg_min(val, pos) AS val, arg_min(val, pos) AS raw_val, end_date,
-               filed_date, 'Unknown' AS fp, is_fy, is_quarter
+        SELECT cik, tag, arg_min(val, place) AS val, arg_min(val, place) AS raw_val, end_date,
+               filed_date, fp, is_fy, is_quarter
         FROM classified WHERE is_instant OR is_quarter OR is_fy
-        GROUP BY cik, tag, end_date, filed_date, is_fy, is_quarter"""),
+        GROUP BY cik, tag, end_date, filed_date, fp, is_fy, is_quarter"""),
     "reports": (["facts"], "SELECT cik, end_date AS e_date, filed_date AS f_date, "
                 + _cols("arg_max(val, 2 * is_fy::INT + is_quarter::INT) FILTER (tag = '{n}') AS {n}",
                         MATRIX_TAGS) + ", "
@@ -200,6 +236,13 @@ def oracles() -> dict[str, str]:
     q = _query
     return {
         "clean_facts": q("SELECT * FROM facts", "facts"),
+        "quarantined_prices": q("""
+            SELECT permaTicker, CASE WHEN kind = 0 THEN bars ELSE 0 END AS bars,
+                   CASE kind WHEN 0 THEN '' WHEN 1 THEN 'unreadable number' WHEN 2 THEN 'unreadable date'
+                        ELSE 'line of another length' END AS reason
+            FROM (SELECT permaTicker, substr(permaTicker, 2)::INT % 5 AS kind, count(*) AS bars
+                  FROM fx_prices JOIN fx_meta USING (permaTicker) GROUP BY permaTicker)""",
+                                "fx_prices", "fx_meta"),
         "company_ids": """
             SELECT DISTINCT user_id, lpad(user_id::TEXT, 10, '0') AS from_number,
                    lpad(user_id::TEXT, 10, '0') AS from_decimal,

@@ -16,6 +16,7 @@ from knownby.sources.taxonomy import PENDING_STATUS, SUCCESS_STATUS, sec_tags
 
 _REQUIRED = ["date", *PRICE_VALUES]
 _SECURITY_FILE = r"([^/=]*)[.]csv(/|$)"
+_END = "\u0003"  # no text of a price file: the control character "end of text"
 
 
 def _whole_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
@@ -40,46 +41,63 @@ def _security_of(file: Column) -> dict[str, Column]:
     }
 
 
-def _bare(text: Column) -> Column:
-    """Cell text without surrounding blanks, quotes or a carriage return."""
-    return F.btrim(text, F.lit(' "\r'))
+def _cells(line: Column, width: int) -> Column:
+    """The cells of one CSV line as text, an end mark behind the last; read by Spark's CSV parser.
+
+    The mark shows how many cells the line has: an open quote swallows it, a short or long line moves it.
+    """
+    schema = ", ".join(f"c{i} string" for i in range(width + 1))
+    parsed = F.from_csv(F.concat(line, F.lit(f",{_END}")), schema, {"escape": '"'})
+    listed = F.transform(F.array(parsed), lambda row: F.array(*[F.btrim(row[f"c{i}"]) for i in range(width + 1)]))
+    return F.get(listed, F.lit(0))  # through a lambda, so that a line is parsed once
 
 
-def read_prices(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_prices(spark: SparkSession, path: str, max_columns: int = 40) -> tuple[DataFrame, DataFrame]:
     """Price files to (prices, quarantine).
 
     Columns are found by name in each file's own header, so order may differ and unnamed or extra
-    columns are ignored. A file that lacks a required column, or holds text where a number belongs,
-    is set aside whole. Positions are worked out once per file; lines are parsed after the explode,
-    inside generated code. Files with an unreadable number are found by their own pass over the
-    landing, so the good path needs no shuffle of its rows.
+    columns are ignored. Cells may be quoted, but not run over line ends; a byte-order mark is skipped.
+    Set aside whole, with the first reason that applies: files with more than ``max_columns`` columns,
+    without a required column, with a line of more or fewer cells than the header (an open quote too), with a bar
+    without a readable date, or with text where a number belongs. Positions are worked out once per
+    file. Spoilt files are found by their own pass over the landing, so the good path needs no
+    shuffle of its rows.
     """
-    header = F.substring_index("value", "\n", 1)
-    files = _whole_files(spark, path, "*.csv").select(
-        "file", "value", F.transform(F.split(header, ","), _bare).alias("names"))
+    lines = F.split(F.regexp_replace("value", "^\uFEFF", ""), "\r?\n")
+    files = (
+        _whole_files(spark, path, "*.csv").select("file", lines.alias("lines"))
+        .withColumn("_header", _cells(F.get("lines", F.lit(0)), max_columns))
+        .withColumn("width", (F.array_position("_header", _END) - 1).cast("int"))
+        .withColumn("names", F.slice("_header", 1, F.greatest("width", F.lit(0))))
+    )
     required = F.array(*[F.lit(c) for c in _REQUIRED])
-    complete = F.size(F.array_except(required, F.col("names"))) == 0
-    short = files.where(~complete).select("file", F.lit("required column missing").alias("reason"))
+    complete = (F.col("width") > 0) & (F.size(F.array_except(required, F.col("names"))) == 0)
+    headless = files.where(~complete).select("file", F.when(
+        F.col("width") < 0, "too many columns or an open quote in the header").otherwise(
+        "required column missing").alias("reason"))
     cells = (
         files.where(complete)
-        .select("file", "names", F.posexplode(F.split("value", "\n")).alias("_line", "line"))
-        .where((F.col("_line") > 0) & (_bare(F.col("line")) != ""))
-        .withColumn("cells", F.split("line", ","))
-        .select("file", *[F.nullif(_bare(F.get(
-            "cells", (F.array_position("names", c) - 1).cast("int"))), F.lit("")).alias(c)
-            for c in _REQUIRED])
+        .select("file", "names", "width", F.posexplode("lines").alias("_line", "line"))
+        .where((F.col("_line") > 0) & (F.trim("line") != ""))
+        .withColumn("cells", _cells(F.col("line"), max_columns))
+        .select("file", (F.array_position("cells", _END) == F.col("width") + 1).alias("_whole"),
+                *[F.nullif(F.get("cells", (F.array_position("names", c) - 1).cast("int")), F.lit("")).alias(c)
+                  for c in _REQUIRED])
     )
-    readable = C.all_of([F.col(c).isNull() | F.col(c).try_cast("double").isNotNull()
-                         for c in PRICE_VALUES])
-    spoilt = cells.where(~readable).select("file").distinct()
+    numeric = C.all_of([F.col(c).isNull() | F.col(c).try_cast("double").isNotNull()
+                        for c in PRICE_VALUES])
+    faults = ["line of another length", "unreadable date", "unreadable number"]
+    fault = F.when(~F.col("_whole"), 0).when(C.parse_day(F.col("date")).isNull(), 1).when(~numeric, 2)
+    spoilt = cells.select("file", fault.alias("fault")).where(F.col("fault").isNotNull()) \
+        .groupBy("file").agg(F.min("fault").alias("fault"))
     prices = (
         cells.join(spoilt, "file", "left_anti")
         .select("date", *[F.col(c).try_cast("double").alias(c) for c in PRICE_VALUES],
                 *[v.alias(k) for k, v in _security_of(F.col("file")).items()])
         .select(*PRICES.names)
     )
-    return prices, short.unionByName(
-        spoilt.withColumn("reason", F.lit("unreadable number")))
+    return prices, headless.unionByName(spoilt.select(
+        "file", F.get(F.array(*[F.lit(f) for f in faults]), "fault").alias("reason")))
 
 
 def with_price_dates(prices: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ SELECT 'P' || lpad(CAST(l_suppkey AS STRING), 6, '0')            AS permaTicker,
 FROM lineitem GROUP BY l_suppkey, CAST(l_shipdate AS DATE)
 """
 
-FX_FACTS_RAW = """
+_FX_BASE_FACTS = """
 SELECT lpad(CAST(o_custkey % (SELECT count(*) FROM supplier) AS STRING), 10, '0') AS cik,
        CASE o_orderkey % 8 WHEN 0 THEN 'Revenues' WHEN 1 THEN 'NetIncomeLoss'
             WHEN 2 THEN 'OperatingIncomeLoss' WHEN 3 THEN 'NetCashProvidedByUsedInOperatingActivities'
@@ -62,6 +62,42 @@ SELECT lpad(CAST(o_custkey % (SELECT count(*) FROM supplier) AS STRING), 10, '0'
 FROM orders
 """
 
+# A second entry of each filing: the remaining tags of the daily table, some values missing.
+_FX_MORE_FACTS = """
+SELECT lpad(CAST(o_custkey % (SELECT count(*) FROM supplier) AS STRING), 10, '0') AS cik,
+       CASE o_custkey % 8 WHEN 0 THEN 'CostOfRevenue' WHEN 1 THEN 'CostOfGoodsAndServicesSold'
+            WHEN 2 THEN 'ResearchAndDevelopmentExpense'
+            WHEN 3 THEN 'SellingGeneralAndAdministrativeExpense'
+            WHEN 4 THEN 'CashAndCashEquivalentsAtCarryingValue' WHEN 5 THEN 'LongTermDebt'
+            WHEN 6 THEN 'LongTermDebtNoncurrent' ELSE 'ShortTermBorrowings' END   AS sec_tag,
+       'USD'                                                                      AS unit,
+       CASE WHEN o_custkey % 8 >= 4 THEN NULL
+            WHEN o_orderkey % 8 = 3 THEN CAST(date_trunc('quarter', o_orderdate) AS DATE) - 365
+            ELSE CAST(date_trunc('quarter', o_orderdate) AS DATE) - 91 END        AS start_date,
+       CAST(date_trunc('quarter', o_orderdate) AS DATE) - 1                       AS end_date,
+       CAST(o_orderdate AS DATE)                                                  AS filed_date,
+       CASE WHEN o_orderkey % 13 = 5 THEN NULL ELSE o_totalprice / 4 END          AS val,
+       o_orderkey                                                                 AS pos
+FROM orders
+"""
+
+# The same figures under a less preferred tag, listed before the preferred one.
+_FX_ALIASES = """
+SELECT cik, CASE sec_tag WHEN 'Revenues' THEN 'SalesRevenueNet' WHEN 'NetIncomeLoss' THEN 'ProfitLoss'
+                 ELSE 'StockholdersEquityIncludingPortionAttributableToNoncontrollingInterest' END AS sec_tag,
+       unit, start_date, end_date, filed_date, val / 2 AS val, pos - 1 AS pos
+FROM base WHERE sec_tag IN ('Revenues', 'NetIncomeLoss', 'StockholdersEquity')
+"""
+
+# Fiscal-period labels: FY, Q1, a blank one, none, Q4.
+FX_FACTS_RAW = f"""
+SELECT *, CASE WHEN start_date < end_date - 300 THEN 'FY' WHEN quarter(end_date) = 2 THEN ''
+               WHEN quarter(end_date) = 3 THEN NULL
+               ELSE 'Q' || CAST(quarter(end_date) AS STRING) END AS fp
+FROM (WITH base AS ({_FX_BASE_FACTS}) SELECT * FROM base
+      UNION ALL SELECT * FROM ({_FX_MORE_FACTS}) UNION ALL SELECT * FROM ({_FX_ALIASES})) entries
+"""
+
 FX_META = """
 SELECT 'P' || lpad(CAST(s_suppkey AS STRING), 6, '0')                         AS permaTicker,
        CASE WHEN s_suppkey % 25 = 7 THEN 'T' || CAST(s_suppkey AS STRING) || '-P'
@@ -104,7 +140,7 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapter(spark, sf_dir, FX_FACTS_RAW).withColumn("fp", F.lit(None).cast("string"))
+    return adapter(spark, sf_dir, FX_FACTS_RAW)
 
 
 def meta(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,6 +34,24 @@ def test_price_files(spark, tmp_path):
     assert bad == {("P3_BAD.csv", "unreadable number"), ("P4_SHORT.csv", "required column missing")}
 
 
+def test_price_files_are_read_as_csv(spark, tmp_path):
+    (tmp_path / "P1_A.csv").write_text(f'{HEADER},note\n{ROW},"a, ""b"""\n', encoding="utf-8-sig")
+    (tmp_path / "P2_B.csv").write_text(",".join(f'"{c}"' for c in HEADER.split(",")) + f"\r\n{ROW}\r\n\r\n")
+    (tmp_path / "P3_C.csv").write_text(f"{HEADER}\n{ROW}\n2020-01-03,1,2\n")
+    (tmp_path / "P4_D.csv").write_text(f"{HEADER}\n{ROW},7\n")
+    (tmp_path / "P5_E.csv").write_text(f"{HEADER}\n{ROW.replace('2020-01-02', 'garbage')}\n")
+    (tmp_path / "P6_F.csv").write_text(f'{HEADER}\n{ROW[:-1]}"1\n')
+    (tmp_path / "P7_G.csv").write_text(f"{HEADER}," + ",".join(f"x{i}" for i in range(40)) + "\n")
+    (tmp_path / "P8_H.csv").write_text("")
+    prices, quarantine = bronze.read_prices(spark, str(tmp_path))
+    rows = {(r.ticker, str(r.p_date), r.close, r.splitFactor) for r in bronze.with_price_dates(prices).collect()}
+    assert rows == {("A", "2020-01-02", 10.0, 1.0), ("B", "2020-01-02", 10.0, 1.0)}
+    bad = {(r.file.rsplit("/", 1)[1][:2], r.reason) for r in quarantine.collect()}
+    assert bad - {("P8", "required column missing")} == {
+        ("P3", "line of another length"), ("P4", "line of another length"), ("P5", "unreadable date"),
+        ("P6", "line of another length"), ("P7", "too many columns or an open quote in the header")}
+
+
 def test_fact_files(spark, tmp_path):
     entry = {"start": "2020-01-01", "end": "2020-03-31", "val": 5, "filed": "2020-05-01", "fp": "Q1",
              "accn": "a-1", "form": "10-Q"}
