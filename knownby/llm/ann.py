@@ -1,7 +1,8 @@
 """Approximate nearest neighbours by several shifted Hilbert curves.
 
 Each curve projects all vectors onto a few random directions, shifts them by a random offset and orders them
-by Hilbert key. Spark range-partitions the rows by (curve, key, vec_id), so ties and copies spread over
+by Hilbert key. A direction's cells follow quantiles of all rows' projections, so a few very long vectors fall
+into border cells and do not crowd the others into one. Spark range-partitions the rows by (curve, key, vec_id), so ties and copies spread over
 partitions; a row's rank is its place in its partition plus the rows of the partitions before. A query looks
 at a window of ranks on both sides of its own place, on every curve; windows are cut into blocks of rows, so
 a task holds one block and the queries that want it and returns each query's nearest of the block. The
@@ -64,19 +65,41 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & ~bad & F.exists(vector, lambda v: v != 0)
 
 
-def _curve_keys(dim: int, low: float, high: float, curves: int, seed: int):
+def _frames(dim: int, curves: int, seed: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Directions and offset of each curve."""
     rng = np.random.default_rng(seed)
     width = min(DIRECTIONS, dim)
-    frames = [(np.linalg.qr(rng.normal(size=(dim, width)))[0], rng.uniform(0, 1, width)) for _ in range(curves)]
-    span = max(high - low, 1e-12)
+    return [(np.linalg.qr(rng.normal(size=(dim, width)))[0], rng.uniform(0, 1, width)) for _ in range(curves)]
+
+
+def _borders(rows: DataFrame, frames: list) -> np.ndarray:
+    """Quantiles of the projections of all rows: a row for each direction of each curve."""
+    directions = np.hstack([d for d, _ in frames])
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                y = np.stack(batch["v"].to_numpy(zero_copy_only=False)) @ directions
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in y.T], [f"y{i}" for i in range(y.shape[1])])
+
+    count = directions.shape[1]
+    projected = rows.select("v").mapInArrow(project, ", ".join(f"y{i} double" for i in range(count)))
+    shares = [i / (1 << BITS) for i in range((1 << BITS) + 1)]
+    found = projected.agg(*[F.percentile_approx(f"y{i}", shares, 1_000).alias(f"y{i}") for i in range(count)]).first()
+    return np.array(list(found))
+
+
+def _curve_keys(frames: list, borders: np.ndarray):
+    width = len(frames[0][1])
+    places = np.linspace(0, 1, borders.shape[1])
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 x = np.stack(batch["v"].to_numpy(zero_copy_only=False))
                 for curve, (directions, shift) in enumerate(frames):
-                    y = ((x @ directions - low) / span + shift) / 2
-                    cells = np.clip((y * (1 << BITS)).astype(np.int64), 0, (1 << BITS) - 1)
+                    share = np.stack([np.interp(y, borders[curve * width + i], places) for i, y in enumerate((x @ directions).T)], axis=1)
+                    cells = np.clip(((share + shift) / 2 * (1 << BITS)).astype(np.int64), 0, (1 << BITS) - 1)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(x), curve, np.int32)), pa.array(hilbert_keys(cells, BITS)), batch["vec_id"], batch["v"]],
                         ["curve", "key", "vec_id", "v"])
@@ -114,10 +137,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, curves: int = CUR
     if most is None:
         return vectors.sparkSession.createDataFrame([], empty)
     rows = rows.where(F.col("dim") == most["dim"])
-    spread = rows.select(F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c))).alias("r")).first()["r"]
-
-    keyed = rows.select("vec_id", "v").mapInArrow(_curve_keys(most["dim"], -spread, spread, curves, seed),
-                                                 "curve int, key long, vec_id long, v array<double>")
+    frames = _frames(most["dim"], curves, seed)
+    keyed = rows.select("vec_id", "v").mapInArrow(_curve_keys(frames, _borders(rows, frames)), "curve int, key long, vec_id long, v array<double>")
     ordered = store(keyed.repartitionByRange("curve", "key", "vec_id").sortWithinPartitions("curve", "key", "vec_id")
                     .withColumn("part", F.spark_partition_id())
                     .withColumn("place", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)), "hilbert-order")
