@@ -72,4 +72,25 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(low.component, w.doc_i
 FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN low ON low.node = w.doc_id
 """
 
-ORACLES = {"op2_exact_dedup": _OP2, "op3_mixing": _OP3, "op6_near_dedup": _OP6}
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+_OP11 = r"""
+WITH dt AS (SELECT doc_id, unnest(""" + _TERMS + r""") AS term FROM documents WHERE doc_id IS NOT NULL),
+dn AS (SELECT doc_id, count(*) AS n FROM dt GROUP BY doc_id),
+st AS (SELECT count(*) AS nd, sum(n) AS tl FROM dn),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM dt GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+wt AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w FROM df, st),
+it AS (SELECT DISTINCT item_id, unnest(""" + _TERMS + r""") AS term FROM benchmark WHERE item_id IS NOT NULL),
+sc AS (
+  SELECT it.item_id, tf.doc_id,
+    CAST(sum(wt.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (10 + (90 * dn.n * st.nd) // st.tl)))) AS BIGINT) AS score
+  FROM it JOIN tf USING (term) JOIN wt USING (term) JOIN dn USING (doc_id), st GROUP BY ALL
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM sc WHERE score > 0
+) WHERE rank <= 10
+"""
+
+ORACLES = {"op2_exact_dedup": _OP2, "op3_mixing": _OP3, "op6_near_dedup": _OP6, "op11_search": _OP11}

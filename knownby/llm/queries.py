@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knownby.llm import ann, bpe, exact_dedup, langid, licenses, lmscore, mixing, near_dedup, quality, secrets
+from knownby.llm import ann, bpe, exact_dedup, langid, licenses, lmscore, mixing, near_dedup, quality, search, secrets
 from knownby.llm.common import table
 from knownby.llm.oracles import ORACLES
 
@@ -96,9 +96,13 @@ def op10_ann(spark: SparkSession, d: str) -> DataFrame:
     return ann.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_search(spark: SparkSession, d: str) -> DataFrame:
+    return search.search(table(spark, d, "documents"), table(spark, d, "benchmark"), k=10)
+
+
 def queries() -> dict[str, Query]:
     found = [op1_lm_scoring, op2_exact_dedup, op3_mixing, op4_language_id, op5_license_scan, op6_near_dedup, op7_quality,
-             op8_secret_scan, op9_bpe, op10_ann]
+             op8_secret_scan, op9_bpe, op10_ann, op11_search]
     return {f.__name__: f for f in found}
 
 
