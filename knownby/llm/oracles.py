@@ -93,4 +93,35 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
 ) WHERE rank <= 10
 """
 
-ORACLES = {"op2_exact_dedup": _OP2, "op3_mixing": _OP3, "op6_near_dedup": _OP6, "op11_search": _OP11}
+_OP12 = r"""
+WITH a AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+b AS (
+  SELECT rid, doc_id, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+    list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS wl FROM a
+),
+c AS (
+  SELECT *, CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    ELSE [] END AS g FROM b
+),
+win AS (SELECT rid, unnest(range(len(g))) AS p, unnest(g) AS gram FROM c),
+rep AS (SELECT rid, p FROM (SELECT rid, p, count(*) OVER (PARTITION BY rid, gram) AS k FROM win) WHERE k >= 2),
+cov AS (SELECT rid, count(DISTINCT p + o) AS n_repeat_words FROM rep, (VALUES (0), (1), (2)) v(o) GROUP BY rid),
+m AS (
+  SELECT c.rid, doc_id, w, wl, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(wl) - len(list_distinct(wl)) AS BIGINT) AS n_dup_lines, len(wl) AS n_lines,
+    CAST(coalesce(cov.n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+  FROM c LEFT JOIN cov ON cov.rid = c.rid
+),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR word_chars < 3 * n_words OR word_chars > 10 * n_words OR n_symbols * 10 > n_words
+    OR n_dup_lines * 10 > n_lines * 3
+    OR CAST(len(list_filter(w, lambda x: NOT regexp_matches(x, '\p{L}'))) AS DOUBLE) / greatest(n_words, 1) > 0.2
+    OR CAST(len(list_filter(wl, lambda l: regexp_matches(l, '(\.\.\.|…)[\x20\x09-\x0D]*\z'))) AS DOUBLE) / greatest(n_lines, 1) > 0.3
+    OR CAST(len(list_filter(wl, lambda l: regexp_matches(l, '^[\x20\x09-\x0D]*[-*•]'))) AS DOUBLE) / greatest(n_lines, 1) > 0.9) AS kept
+FROM f
+"""
+
+ORACLES = {"op2_exact_dedup": _OP2, "op3_mixing": _OP3, "op6_near_dedup": _OP6, "op11_search": _OP11, "op12_quality_rules": _OP12}

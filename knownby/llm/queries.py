@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from knownby.llm import ann, bpe, exact_dedup, langid, licenses, lmscore, mixing, near_dedup, quality, search, secrets
+from knownby.llm import ann, bpe, exact_dedup, langid, licenses, lmscore, mixing, near_dedup, quality, rules, search, secrets, variants
 from knownby.llm.common import table
 from knownby.llm.oracles import ORACLES
 
@@ -100,9 +100,19 @@ def op11_search(spark: SparkSession, d: str) -> DataFrame:
     return search.search(table(spark, d, "documents"), table(spark, d, "benchmark"), k=10)
 
 
+def op12_quality_rules(spark: SparkSession, d: str) -> DataFrame:
+    judged = rules.judge(table(spark, d, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op13_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
+    return variants.variants(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = [op1_lm_scoring, op2_exact_dedup, op3_mixing, op4_language_id, op5_license_scan, op6_near_dedup, op7_quality,
-             op8_secret_scan, op9_bpe, op10_ann, op11_search]
+             op8_secret_scan, op9_bpe, op10_ann, op11_search, op12_quality_rules,
+             op13_spelling_variants]
     return {f.__name__: f for f in found}
 
 

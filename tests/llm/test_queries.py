@@ -19,7 +19,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 def test_all_are_registered():
-    assert {*llm.queries(), "pipeline"} <= set(contract.queries()) and len(llm.queries()) == 10
+    assert {*llm.queries(), "pipeline"} <= set(contract.queries()) and len(llm.queries()) == 13
 
 
 @pytest.mark.parametrize("name", sorted(llm.oracles()))
