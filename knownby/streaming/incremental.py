@@ -18,7 +18,7 @@ from knownby.functions.cleaning import normalize_cik
 from knownby.operators.dedupe import last_row_per_key
 from knownby.options import DEFAULT, EngineOptions
 from knownby.plans.matrix import build_matrix
-from knownby.sources.sinks import check_contract, read_matrix, write_matrix
+from knownby.sources.sinks import check_contract, matrix_bucket, read_matrix, write_matrix
 
 PRICE_KEYS = ["permaTicker", "p_date"]
 FACT_KEYS = ["cik", "tag", "end_date", "filed_date", "fp", "is_fy", "is_quarter"]
@@ -157,14 +157,17 @@ def updated_matrix(stored: DataFrame, scope: DataFrame, fresh: DataFrame) -> Dat
 
 
 def refresh_matrix(path: str, scope: DataFrame, fresh: DataFrame) -> None:
-    """Apply a rebuild to the stored table, replacing only the years it reaches.
+    """Apply a rebuild to the stored table, replacing only the (year, bucket) folders it reaches.
 
-    Years before the earliest change are neither read nor written. Files of the replaced years are
-    staged by the commit protocol and swapped in when the job succeeds.
+    Years before the earliest change and buckets without a touched security are neither read nor
+    written, so their files keep their names. The replaced folders are staged by the commit protocol and
+    swapped in when the job succeeds. The list of touched buckets has at most ``MATRIX_BUCKETS`` entries.
     """
     spark = fresh.sparkSession
     first = scope.agg(F.min(F.year("since"))).first()[0]
     if first is None:
         return
-    stored = read_matrix(spark, path).where(F.col("p_year") >= first)
+    buckets = [r[0] for r in scope.select(matrix_bucket(F.col("permaTicker"))).distinct().collect()]
+    stored = read_matrix(spark, path, with_bucket=True) \
+        .where((F.col("p_year") >= first) & F.col("p_bucket").isin(buckets)).drop("p_bucket")
     write_matrix(updated_matrix(stored, scope, fresh), path, dynamic=True)

@@ -12,7 +12,7 @@ from knownby.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = build_session("knownby-tests", "local[4]", **{
+    session = build_session("knownby-tests", os.environ.get("TEST_MASTER", "local[4]"), **{
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g",
         "spark.knownby.workDir": str(tmp_path_factory.mktemp("work"))})
