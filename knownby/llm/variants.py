@@ -11,9 +11,10 @@ prefix* filter for edit distance 1 with bigrams (q = 2, tau = 1):
   so at most one pivot is lost, and the other survives shifted by at most one position.
 
 If two words are one edit apart, the one whose third prefix bigram comes first in the order has a surviving
-pivot among the other's prefix. So every near pair meets where a pivot of one word equals a prefix bigram of
+pivot among the other's prefix. So every near pair meets where a pivot of that word equals a prefix bigram of
 the other at a position at most 1 away, with lengths at most 1 apart: an equi-join on (bigram, position,
-length) after shifting the prefix rows by -1, 0, +1 in position and length. Candidates are verified by
+length) after shifting the prefix rows by -1, 0, +1 in position and length, kept only in that direction
+(pivot side's last prefix bigram not after the other's), which halves the candidates. Candidates are verified by
 Levenshtein distance with a bound of 1. The global order is computed over all words and is small by
 construction: at most 90 * 90 bigrams over the 90 code points that can occur, so it is broadcast.
 
@@ -91,9 +92,11 @@ def _grams(word: str) -> list[tuple[str, int]]:
 
 
 def _prefix_rows(frequency: dict[str, int]):
+    rank = {g: i for i, g in enumerate(sorted(frequency, key=lambda g: (frequency[g], g)))}  # the global order
+
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out_word, out_len, out_role, out_gram, out_pos = [], [], [], [], []
+            out_word, out_len, out_role, out_gram, out_pos, out_last = [], [], [], [], [], []
             for word in batch["word"]:
                 occ = sorted(((frequency[g], g, p) for g, p in _grams(word)))
                 last = occ[PREFIX - 1][:2]
@@ -105,7 +108,9 @@ def _prefix_rows(frequency: dict[str, int]):
                         out_role.append(role)
                         out_gram.append(g)
                         out_pos.append(p)
-            yield pd.DataFrame({"word": out_word, "len": out_len, "role": out_role, "gram": out_gram, "pos": out_pos})
+                        out_last.append(rank[last[1]])
+            yield pd.DataFrame({"word": out_word, "len": out_len, "role": out_role, "gram": out_gram, "pos": out_pos,
+                                "last": out_last})
     return rows
 
 
@@ -115,14 +120,16 @@ def near_pairs(words: DataFrame) -> DataFrame:
     positions = words.select("word", F.explode(F.sequence(F.lit(0), F.length("word") - 2)).alias("p"))
     counts = positions.groupBy(F.expr("substring(word, p + 1, 2)").alias("gram")).agg(F.count("*").alias("f"))
     frequency = {r["gram"]: r["f"] for r in counts.collect()}  # at most 90 * 90 rows, see the module's text
-    schema = "word string, len int, role string, gram string, pos int"
+    schema = "word string, len int, role string, gram string, pos int, last int"
     marked = store(words.select("word").mapInPandas(_prefix_rows(frequency), schema), "variant-grams")
     shifts = F.explode(F.array(*[F.struct(F.lit(dp).alias("dp"), F.lit(dl).alias("dl"))
                                  for dp in (-1, 0, 1) for dl in (-1, 0, 1)])).alias("s")
-    pre = marked.where("role = 'pre'").select(F.col("word").alias("b"), "gram", "pos", "len", shifts) \
-        .select("b", "gram", (F.col("pos") + F.col("s.dp")).alias("pos"), (F.col("len") + F.col("s.dl")).alias("len"))
-    piv = marked.where("role = 'piv'").select(F.col("word").alias("a"), "gram", "pos", "len")
-    candidates = piv.join(pre, ["gram", "pos", "len"]).where(F.col("a") != F.col("b")) \
+    pre = marked.where("role = 'pre'").select(F.col("word").alias("b"), "gram", "pos", "len", F.col("last").alias("b_last"),
+                                              shifts) \
+        .select("b", "gram", (F.col("pos") + F.col("s.dp")).alias("pos"), (F.col("len") + F.col("s.dl")).alias("len"), "b_last")
+    piv = marked.where("role = 'piv'").select(F.col("word").alias("a"), "gram", "pos", "len", F.col("last").alias("a_last"))
+    # the lemma needs one direction only: pivots of the word whose prefix ends first in the order
+    candidates = piv.join(pre, ["gram", "pos", "len"]).where((F.col("a") != F.col("b")) & (F.col("a_last") <= F.col("b_last"))) \
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     near = candidates.where(F.levenshtein("a", "b", 1) == 1)
     return near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
