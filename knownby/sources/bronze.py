@@ -19,8 +19,25 @@ _SECURITY_FILE = r"([^/=]*)[.]csv(/|$)"
 _END = "\u0003"  # no text of a price file: the control character "end of text"
 
 
-def _whole_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """One row per file. Files hold one security's or one company's record, so they stay small."""
+def pack(lines: DataFrame, path: str, header: str | None = None) -> None:
+    """Land many small files packed: lines(file, line) become one JSON record (file, value) for each file.
+
+    A landing of one file per security or company costs a folder entry, a commit and an open each; packs hold
+    the same texts under the same names in a few splittable files. Lines of a file are sorted, below ``header``.
+    """
+    body = F.sort_array(F.collect_list("line"))
+    listed = body if header is None else F.concat(F.array(F.lit(header)), body)
+    lines.groupBy("file").agg(F.array_join(listed, "\n").alias("value")).write.json(path)
+
+
+def _whole_files(spark: SparkSession, path: str, pattern: str, packed: bool = False) -> DataFrame:
+    """One row per file. Files hold one security's or one company's record, so they stay small.
+
+    ``packed`` reads what ``pack`` wrote; a damaged pack is an error, not a spoilt file.
+    """
+    if packed:
+        packs = spark.read.schema("file string, value string").json(path, mode="FAILFAST")
+        return packs.where(F.col("file").like(pattern.replace("*", "%")))
     return (
         spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
         .select(F.col("_metadata.file_path").alias("file"), "value")
@@ -41,19 +58,31 @@ def _security_of(file: Column) -> dict[str, Column]:
     }
 
 
-def _cells(line: Column, width: int) -> Column:
-    """The cells of one CSV line as text, an end mark behind the last; read by Spark's CSV parser.
+def _cells(line: Column, columns: int, pad: Column | None = None) -> Column:
+    """The cells of one CSV line as an array of texts, an end mark behind the last.
+
+    A line with a quote is read by Spark's CSV parser, to ``columns`` texts; any other one is cut at its commas.
 
     The mark shows how many cells the line has: an open quote swallows it, a short or long line moves it.
+    ``pad`` commas behind the mark fill a line up to ``columns``: the parser raises an error, slowly, for others.
     """
-    schema = ", ".join(f"c{i} string" for i in range(width + 1))
-    parsed = F.from_csv(F.concat(line, F.lit(f",{_END}")), schema, {"escape": '"'})
-    listed = F.transform(F.array(parsed), lambda row: F.array(*[F.btrim(row[f"c{i}"]) for i in range(width + 1)]))
-    return F.get(listed, F.lit(0))  # through a lambda, so that a line is parsed once
+    schema = ", ".join(f"c{i} string" for i in range(columns))
+    ending = [F.lit(f",{_END}")] if pad is None else [F.lit(f",{_END}"), F.repeat(F.lit(","), pad)]
+    parsed = F.from_csv(F.concat(line, *ending), schema, {"escape": '"'})
+    listed = F.transform(F.array(parsed), lambda row: F.array(*[row[f"c{i}"] for i in range(columns)]))
+    quoted = F.get(listed, F.lit(0))  # through a lambda, so that a line is parsed once
+    plain = F.split(F.concat(line, F.lit(f",{_END}")), ",")  # the same cells, without the parser's set-up
+    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(plain)
+
+
+def _line(text: Column) -> Column:
+    """A line without the carriage return before its end."""
+    return F.when(F.endswith(text, F.lit("\r")), F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
 
 
-def read_prices(spark: SparkSession, path: str, max_columns: int = 40) -> tuple[DataFrame, DataFrame]:
-    """Price files to (prices, quarantine).
+def read_prices(spark: SparkSession, path: str, max_columns: int = 40,
+                packed: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Price files, loose or ``packed`` (see ``pack``), to (prices, quarantine).
 
     Columns are found by name in each file's own header, so order may differ and unnamed or extra
     columns are ignored. Cells may be quoted, but not run over line ends; a byte-order mark is skipped.
@@ -63,33 +92,40 @@ def read_prices(spark: SparkSession, path: str, max_columns: int = 40) -> tuple[
     file. Spoilt files are found by their own pass over the landing, so the good path needs no
     shuffle of its rows.
     """
-    lines = F.split(F.regexp_replace("value", "^\uFEFF", ""), "\r?\n")
+    columns = max_columns + 1
+    marked = F.startswith("value", F.lit("\uFEFF"))
     files = (
-        _whole_files(spark, path, "*.csv").select("file", lines.alias("lines"))
-        .withColumn("_header", _cells(F.get("lines", F.lit(0)), max_columns))
+        _whole_files(spark, path, "*.csv", packed)
+        .select("file", F.when(marked, F.expr("substring(value, 2)")).otherwise(F.col("value")).alias("text"))
+        .withColumn("_header", F.transform(_cells(_line(F.substring_index("text", "\n", 1)), columns), F.btrim))
         .withColumn("width", (F.array_position("_header", _END) - 1).cast("int"))
         .withColumn("names", F.slice("_header", 1, F.greatest("width", F.lit(0))))
     )
     required = F.array(*[F.lit(c) for c in _REQUIRED])
-    complete = (F.col("width") > 0) & (F.size(F.array_except(required, F.col("names"))) == 0)
+    complete = (F.col("width") > 0) & (F.col("width") <= max_columns) & (F.size(F.array_except(required, F.col("names"))) == 0)
     headless = files.where(~complete).select("file", F.when(
-        F.col("width") < 0, "too many columns or an open quote in the header").otherwise(
+        (F.col("width") < 0) | (F.col("width") > max_columns), "too many columns or an open quote in the header").otherwise(
         "required column missing").alias("reason"))
+    at = F.array(*[(F.array_position("names", c) - 1).cast("int") for c in _REQUIRED])
     cells = (
         files.where(complete)
-        .select("file", "names", "width", F.posexplode("lines").alias("_line", "line"))
+        .select("file", "width", at.alias("at"), "text")
+        .select("file", "width", "at", F.posexplode(F.split("text", "\n")).alias("_line", "line"))
+        .withColumn("line", _line(F.col("line")))
         .where((F.col("_line") > 0) & (F.trim("line") != ""))
-        .withColumn("cells", _cells(F.col("line"), max_columns))
-        .select("file", (F.array_position("cells", _END) == F.col("width") + 1).alias("_whole"),
-                *[F.nullif(F.get("cells", (F.array_position("names", c) - 1).cast("int")), F.lit("")).alias(c)
-                  for c in _REQUIRED])
+        .withColumn("_row", F.get(F.transform(
+            F.array(_cells(F.col("line"), columns, F.lit(max_columns) - F.col("width"))),
+            lambda row: F.struct((F.array_position(row, _END) == F.col("width") + 1).alias("whole"),
+                                 F.transform("at", lambda i: F.btrim(F.get(row, i))).alias("bar"))), F.lit(0)))
+        .select("file", F.col("_row.whole").alias("_whole"),
+                *[F.nullif(F.get("_row.bar", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(_REQUIRED)])
     )
     numeric = C.all_of([F.col(c).isNull() | F.col(c).try_cast("double").isNotNull()
                         for c in PRICE_VALUES])
     faults = ["line of another length", "unreadable date", "unreadable number"]
     fault = F.when(~F.col("_whole"), 0).when(C.parse_day(F.col("date")).isNull(), 1).when(~numeric, 2)
-    spoilt = cells.select("file", fault.alias("fault")).where(F.col("fault").isNotNull()) \
-        .groupBy("file").agg(F.min("fault").alias("fault"))
+    # The verdict of a file is an aggregate without a filter before it, which would parse every line again.
+    spoilt = cells.groupBy("file").agg(F.min(fault).alias("fault")).where(F.col("fault").isNotNull())
     prices = (
         cells.join(spoilt, "file", "left_anti")
         .select("date", *[F.col(c).try_cast("double").alias(c) for c in PRICE_VALUES],
@@ -105,9 +141,9 @@ def with_price_dates(prices: DataFrame) -> DataFrame:
     return prices.withColumn("p_date", C.parse_day(F.col("date")))
 
 
-def _parsed_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _parsed_json(spark: SparkSession, path: str, schema: T.StructType, packed: bool) -> DataFrame:
     document = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt"})
-    return _whole_files(spark, path, "*").select("file", document.alias("d"))
+    return _whole_files(spark, path, "*", packed).select("file", document.alias("d"))
 
 
 def _split_corrupt(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -116,12 +152,12 @@ def _split_corrupt(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return parsed.where(~broken), bad
 
 
-def read_facts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_facts(spark: SparkSession, path: str, packed: bool = False) -> tuple[DataFrame, DataFrame]:
     """Company filing documents to (entries, quarantine); entries feed ``operators.facts``.
 
     Only the us-gaap namespace and the tags of the taxonomy are expanded.
     """
-    good, bad = _split_corrupt(_parsed_json(spark, path, COMPANY_FACTS))
+    good, bad = _split_corrupt(_parsed_json(spark, path, COMPANY_FACTS, packed))
     wanted = F.array(*[F.lit(t) for t in sec_tags()])
     entries = (
         good.select(
@@ -168,9 +204,9 @@ def bootstrap_registry(spark: SparkSession, path: str, run_date: str,
     })
 
 
-def read_profiles(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_profiles(spark: SparkSession, path: str, packed: bool = False) -> tuple[DataFrame, DataFrame]:
     """Company profile documents to (profiles(cik, sic, sicDescription), quarantine)."""
-    good, bad = _split_corrupt(_parsed_json(spark, path, COMPANY_PROFILE))
+    good, bad = _split_corrupt(_parsed_json(spark, path, COMPANY_PROFILE, packed))
     return good.select(C.normalize_cik(F.col("d.cik")).alias("cik"), "d.sic", "d.sicDescription"), bad
 
 

@@ -5,6 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from knownby.contract import inputs
+from knownby.contract import queries as contract_queries
 from knownby.session import work_folder
 from knownby.sources import bronze, sinks
 from knownby.streaming import incremental
@@ -108,3 +109,59 @@ def test_exports(spark):
     extract = sinks.research_extract(m, columns=["ticker", "pe_ratio"], min_adv=1.0)
     assert extract.columns == ["permaTicker", "ticker", "p_date", "pe_ratio"]
     assert extract.count() == m.where(F.col("adv_20d") >= 1).count()
+
+
+def _packed(spark, files):
+    path = work_folder(spark, "pack")
+    bronze.pack(spark.createDataFrame(files, "file string, line string"), path, HEADER)
+    return path
+
+
+def test_packed_price_files_read_like_loose_ones(spark, tmp_path):
+    files = {"US_01_ABC.csv": [ROW, ROW.replace("2020-01-02", "2020-01-03")], "P2_X.csv": [ROW.replace("1000", "oops"), ROW],
+             "P3_Y.csv": [ROW + ",7"], "P4_Z.csv": [f'{ROW[:-1]}"1', ROW], "P5_Q.csv": [ROW.replace("2020-01-02", "none")]}
+    (tmp_path / "loose").mkdir()
+    for name, lines in files.items():
+        (tmp_path / "loose" / name).write_text("\n".join([HEADER, *lines]))
+    loose = bronze.read_prices(spark, str(tmp_path / "loose"))
+    packed = bronze.read_prices(spark, _packed(spark, [(n, x) for n, lines in files.items() for x in lines]), packed=True)
+    assert packed[0].count() == 2 and sorted(packed[0].collect()) == sorted(loose[0].collect())
+    reasons = [{(r.file.rsplit("/", 1)[-1], r.reason) for r in bad.collect()} for _, bad in (loose, packed)]
+    assert reasons[0] == reasons[1] and len(reasons[0]) == 4
+
+
+def test_packs_hold_many_files_in_few(spark):
+    path = _packed(spark, [(f"P{i}_T.csv", ROW) for i in range(500)])
+    assert len(spark.read.schema("file string").json(path).inputFiles()) <= 4
+    assert bronze.read_prices(spark, path, packed=True)[0].select("permaTicker").distinct().count() == 500
+
+
+def test_packed_documents(spark):
+    path = work_folder(spark, "pack")
+    bronze.pack(spark.createDataFrame([("cik=1", '{"cik":"1","sic":"100"}'), ("cik=2", '{"cik":"2"')],
+                                      "file string, line string"), path)
+    good, bad = bronze.read_profiles(spark, path, packed=True)
+    assert [r.cik for r in good.collect()] == ["0000000001"] and [r.file for r in bad.collect()] == ["cik=2"]
+
+
+def test_plain_and_quoted_lines_give_the_same_cells(spark):
+    line = " a,, b ,1.5,"
+    quoted = ",".join(f'"{c}"' if c else "" for c in line.split(","))
+    df = spark.createDataFrame([(line, quoted)], "plain string, quoted string")
+    plain, read = df.select(bronze._cells(F.col("plain"), 8), bronze._cells(F.col("quoted"), 8)).first()
+    assert [c or "" for c in plain] == [c or "" for c in read[:6]] and read[6:] == [None, None]
+
+
+def test_the_document_is_cut_into_lines_once(spark, tmp_path):
+    (tmp_path / "P1_A.csv").write_text(f"{HEADER}\n{ROW}\n")
+    plan = bronze.read_prices(spark, str(tmp_path))[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(text") <= 2  # one of each pass, none in a filter or a header
+
+
+def test_a_landing_grows_by_files_not_by_their_size(spark):
+    rows = spark.range(4000).selectExpr("id", "DATE'1998-01-01' + CAST(id % 2 AS INT) AS day")
+    path = work_folder(spark, "landing")
+    contract_queries._land_twice(rows, "day", path, landed_rows=1000)
+    landed = spark.read.parquet(path)
+    sizes = [r["count"] for r in landed.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 8000 and len(sizes) == 8 and max(sizes) <= 2000
