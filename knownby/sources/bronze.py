@@ -89,8 +89,8 @@ def read_prices(spark: SparkSession, path: str, max_columns: int = 40,
     Set aside whole, with the first reason that applies: files with more than ``max_columns`` columns,
     without a required column, with a line of more or fewer cells than the header (an open quote too), with a bar
     without a readable date, or with text where a number belongs. Positions are worked out once per
-    file. Spoilt files are found by their own pass over the landing, so the good path needs no
-    shuffle of its rows.
+    file. Spoilt files are found by their own pass over the landing, so the good path shuffles
+    files at most, none of its rows.
     """
     columns = max_columns + 1
     marked = F.startswith("value", F.lit("\uFEFF"))
@@ -107,27 +107,30 @@ def read_prices(spark: SparkSession, path: str, max_columns: int = 40,
         (F.col("width") < 0) | (F.col("width") > max_columns), "too many columns or an open quote in the header").otherwise(
         "required column missing").alias("reason"))
     at = F.array(*[(F.array_position("names", c) - 1).cast("int") for c in _REQUIRED])
-    cells = (
-        files.where(complete)
-        .select("file", "width", at.alias("at"), "text")
-        .select("file", "width", "at", F.posexplode(F.split("text", "\n")).alias("_line", "line"))
-        .withColumn("line", _line(F.col("line")))
-        .where((F.col("_line") > 0) & (F.trim("line") != ""))
-        .withColumn("_row", F.get(F.transform(
-            F.array(_cells(F.col("line"), columns, F.lit(max_columns) - F.col("width"))),
-            lambda row: F.struct((F.array_position(row, _END) == F.col("width") + 1).alias("whole"),
-                                 F.transform("at", lambda i: F.btrim(F.get(row, i))).alias("bar"))), F.lit(0)))
-        .select("file", F.col("_row.whole").alias("_whole"),
-                *[F.nullif(F.get("_row.bar", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(_REQUIRED)])
-    )
+    whole = files.where(complete).select("file", "width", at.alias("at"), "text")
+
+    def bars_of(some: DataFrame) -> DataFrame:
+        """The required cells of every line, and whether it has as many as the header."""
+        return (
+            some.select("file", "width", "at", F.posexplode(F.split("text", "\n")).alias("_line", "line"))
+            .withColumn("line", _line(F.col("line")))
+            .where((F.col("_line") > 0) & (F.trim("line") != ""))
+            .withColumn("_row", F.get(F.transform(
+                F.array(_cells(F.col("line"), columns, F.lit(max_columns) - F.col("width"))),
+                lambda row: F.struct((F.array_position(row, _END) == F.col("width") + 1).alias("whole"),
+                                     F.transform("at", lambda i: F.btrim(F.get(row, i))).alias("bar"))), F.lit(0)))
+            .select("file", F.col("_row.whole").alias("_whole"),
+                    *[F.nullif(F.get("_row.bar", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(_REQUIRED)])
+        )
+
     numeric = C.all_of([F.col(c).isNull() | F.col(c).try_cast("double").isNotNull()
                         for c in PRICE_VALUES])
     faults = ["line of another length", "unreadable date", "unreadable number"]
     fault = F.when(~F.col("_whole"), 0).when(C.parse_day(F.col("date")).isNull(), 1).when(~numeric, 2)
     # The verdict of a file is an aggregate without a filter before it, which would parse every line again.
-    spoilt = cells.groupBy("file").agg(F.min(fault).alias("fault")).where(F.col("fault").isNotNull())
+    spoilt = bars_of(whole).groupBy("file").agg(F.min(fault).alias("fault")).where(F.col("fault").isNotNull())
     prices = (
-        cells.join(spoilt, "file", "left_anti")
+        bars_of(whole.join(spoilt.select("file"), "file", "left_anti"))  # files move, not their bars
         .select("date", *[F.col(c).try_cast("double").alias(c) for c in PRICE_VALUES],
                 *[v.alias(k) for k, v in _security_of(F.col("file")).items()])
         .select(*PRICES.names)
