@@ -11,6 +11,7 @@ import pytest
 import regex
 
 from knownby.llm import rules, search, variants
+from knownby.llm.common import store
 from tests.llm.fixtures import DOCS, rows
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -75,6 +76,18 @@ def test_search_ties_rank_by_doc_id(spark):
     assert [r["doc_id"] for r in got] == list(range(10)) and [r["rank"] for r in got] == list(range(1, 11))
 
 
+def test_search_reads_twice_at_most(spark, monkeypatch):
+    """The k-th score of the first round sets the depth of the second; no round by round deepening."""
+    texts = [(i, f"alpha beta w{i % 7} " + "gamma " * (i % 5) + "pad " * (i % 11)) for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    asked = [(1, "alpha gamma w3"), (2, "beta pad"), (3, "w1 w2 alpha beta"), (4, "alpha")]
+    purposes = []
+    monkeypatch.setattr(search, "store", lambda df, purpose: purposes.append(purpose) or store(df, purpose))
+    got = search.search(docs, spark.createDataFrame(asked, "item_id long, text string"), first_depth=1, growth=2).collect()
+    assert sorted(tuple(r) for r in got) == search_brute(texts, asked)
+    assert purposes.count("search-hits") <= 2 and "search-postings" not in purposes
+
+
 def test_search_empty_and_clashing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     items = spark.createDataFrame([(1, "alpha")], "item_id long, text string")
