@@ -43,6 +43,35 @@ def strict_rolling(value: Column, rows: int, window: WindowSpec, stat=F.avg) ->
     return F.when(F.count(value).over(frame) == rows, stat(value).over(frame))
 
 
+def rolling_stddev(df: DataFrame, value: str, frames: dict[str, int], window: WindowSpec) -> DataFrame:
+    """Add sample deviations of ``value`` over the last rows, ``frames`` giving their names and numbers (2 at least).
+
+    As ``strict_rolling``: null until all rows of a frame hold a value. A frame is joined from equal shorter ones
+    by their means and squared deviations, 30 rows from 5, 15 and 90 from 30, so that a row costs a few lags and
+    not an update for each row of the frame; nothing is added up over more rows than the frame holds.
+    """
+    out = df.withColumns({"_mean_1": F.col(value), "_dev_1": F.when(F.col(value).isNotNull(), F.lit(0.0))})
+    known = [1]
+    for name, rows in sorted(frames.items(), key=lambda frame: frame[1]):
+        have = max(n for n in known if rows % n == 0)
+        while have < rows:
+            times = next(t for t in (5, 3, 2, *range(7, rows + 1)) if rows // have % t == 0)
+            part = F.struct(f"_mean_{have}", f"_dev_{have}")
+            parts = [f"_part_{j}" for j in range(1, times)]
+            out = out.withColumns({c: F.lag(part, j * have).over(window) for j, c in enumerate(parts, 1)})
+            own = F.col(f"_mean_{have}")
+            means = [own, *[F.col(f"{c}._mean_{have}") for c in parts]]
+            devs = [F.col(f"_dev_{have}"), *[F.col(f"{c}._dev_{have}") for c in parts]]
+            mean = own + sum((m - own for m in means[1:]), F.lit(0.0)) / times
+            out = out.withColumn(f"_mean_{have * times}", mean)
+            apart = sum((F.pow(m - F.col(f"_mean_{have * times}"), 2) for m in means), F.lit(0.0))
+            out = out.withColumn(f"_dev_{have * times}", sum(devs, F.lit(0.0)) + have * apart).drop(*parts)
+            have *= times
+            known.append(have)
+        out = out.withColumn(name, F.sqrt(F.col(f"_dev_{rows}") / (rows - 1)))
+    return out.drop(*[f"_{kind}_{n}" for n in known for kind in ("mean", "dev")])
+
+
 def day_gap(day: Column, rows: int, window: WindowSpec) -> Column:
     return F.date_diff(day, F.lag(day, rows).over(window))
 

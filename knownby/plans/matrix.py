@@ -13,7 +13,7 @@ from knownby.functions import cleaning as C
 from knownby.functions import ratios as R
 from knownby.operators.dedupe import daily_axis, last_row_per_key
 from knownby.operators.pit import filing_state
-from knownby.operators.timeseries import axis, lag_return, last_known, strict_rolling
+from knownby.operators.timeseries import axis, lag_return, last_known, rolling_stddev, strict_rolling
 from knownby.options import DEFAULT, EngineOptions
 from knownby.schemas import MATRIX
 from knownby.sources.taxonomy import FY_TAGS, MATRIX_TAGS, TTM_TAGS
@@ -148,12 +148,11 @@ def price_signals(prices: DataFrame, by: tuple[str, ...] = ("permaTicker",)) ->
     daily = axis(by, ["p_date"])
     adjusted = F.col("adjClose")
     impact = F.abs(F.col("ret_1d")) / C.non_zero(adjusted * F.col("adjVolume"))
-    return (
+    signals = (
         prices.withColumn("ret_1d", lag_return(adjusted, 1, daily))
         .withColumns({
             **{name: lag_return(adjusted, rows, daily) for name, rows in MOMENTUM_ROWS.items()},
-            **{name: strict_rolling(F.col("ret_1d"), rows, daily, F.stddev_samp)
-               for name, rows in VOLATILITY_ROWS.items()},
             "amihud_20d": strict_rolling(impact, 20, daily),
         })
     )
+    return rolling_stddev(signals, "ret_1d", VOLATILITY_ROWS, daily)

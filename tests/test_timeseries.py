@@ -12,6 +12,7 @@ from knownby.operators.timeseries import (
     forward_fill,
     in_chunks,
     lag_return,
+    rolling_stddev,
     strict_rolling,
 )
 
@@ -104,3 +105,25 @@ def test_union_dedupe_prefers_the_earlier_source(spark):
     b = spark.createDataFrame([("x", 1, 9.0), ("x", 2, 2.0)], "k string, d int, v double")
     assert sorted(map(tuple, union_dedupe([a, b], ["k", "d"]).collect())) == [
         ("x", 1, 1.0), ("x", 2, 2.0)]
+
+
+def test_rolling_stddev_equals_the_frame_form(spark):
+    """Nulls, NaN, a run of equal values and a large value that leaves the frame again."""
+    values = [((i * 37) % 11 - 5) / 7 for i in range(60)] + [0.1] * 40 + [1e9] + [0.1] * 60
+    rows = [(k, i, None if i in (20, 70) and k == "a" else float("nan") if i == 50 and k == "b" else v)
+            for k in "ab" for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "k string, at int, v double")
+    w = axis(["k"], ["at"])
+    frames = {"s30": 30, "s90": 90, "s7": 7, "s2": 2}
+    got = rolling_stddev(df, "v", frames, w).withColumns(
+        {f"e_{n}": strict_rolling(F.col("v"), r, w, F.stddev_samp) for n, r in frames.items()})
+    assert got.columns == ["k", "at", "v", *sorted(frames, key=frames.get), *[f"e_{n}" for n in frames]]
+    for row in got.collect():
+        for name in frames:
+            mine, its = row[name], row[f"e_{name}"]
+            assert (mine is None) == (its is None), (row, name)
+            if mine is not None:
+                assert (mine != mine and its != its) or abs(mine - its) <= 1e-9 * max(1, abs(its)), (row, name)
+    equal = got.where("at between 90 and 99").agg(F.max("s30")).first()[0]
+    assert equal == 0
+    assert "stddev" not in rolling_stddev(df, "v", frames, w)._jdf.queryExecution().optimizedPlan().toString()
