@@ -1,7 +1,7 @@
 """The daily factor table: one plan over all securities.
 
 Shuffles: facts by report and by filing, filings and prices by security. All per-security windows
-share that last partitioning and its sort order.
+share that last partitioning and its sort order, and so does the join with the registry.
 """
 
 from __future__ import annotations
@@ -48,11 +48,18 @@ def universe(meta: DataFrame, facts: DataFrame | None = None) -> DataFrame:
 
 def price_axis(prices: DataFrame, securities: DataFrame, options: EngineOptions) -> DataFrame:
     """Daily bars of the universe. A symbol on the bar itself wins over the registry's."""
+    return _listed(_daily_bars(prices, options), securities)
+
+
+def _daily_bars(prices: DataFrame, options: EngineOptions) -> DataFrame:
     symbol = ["ticker"] if "ticker" in prices.columns else []
     bars = prices.select("permaTicker", "p_date", *_BAR, *symbol)
-    if not options.unique_bars:
-        bars = daily_axis(bars)
-    return bars.join(securities.drop(*symbol), "permaTicker")
+    return bars if options.unique_bars else daily_axis(bars)
+
+
+def _listed(bars: DataFrame, securities: DataFrame) -> DataFrame:
+    """Bars of the securities, with what the registry says of them; a bar keeps its own symbol."""
+    return bars.join(securities.drop(*[c for c in ("ticker",) if c in bars.columns]), "permaTicker")
 
 
 def bars_with_filings(bars: DataFrame, filings: DataFrame, values: list[str],
@@ -106,9 +113,12 @@ def fan_out(filings: DataFrame, securities: DataFrame) -> DataFrame:
 
 def build_frame(prices: DataFrame, facts: DataFrame, meta: DataFrame,
                 options: EngineOptions = DEFAULT) -> DataFrame:
-    """Every working column per (permaTicker, p_date), TTM forms and dollar volume included."""
+    """Every working column per (permaTicker, p_date), TTM forms and dollar volume included.
+
+    The registry's columns are joined behind the windows: the bars move once, without them.
+    """
     securities = universe(meta, facts)
-    bars = price_axis(prices, securities, options)
+    bars = _daily_bars(prices, options).where(F.col("permaTicker").isNotNull())
     filings = fan_out(filing_state(facts, options), securities)
     daily = axis(["permaTicker"], ["p_date"])
     known = bars_with_filings(bars, filings, FILLED, options)
@@ -118,7 +128,7 @@ def build_frame(prices: DataFrame, facts: DataFrame, meta: DataFrame,
         "rev_growth_yoy": lag_return(F.col("known.revenue_ttm"), options.year_rows, daily),
         "ni_growth_yoy": lag_return(F.col("known.net_income_ttm"), options.year_rows, daily),
     })
-    expanded = signals.select("*", "known.*").withColumn("mkt_cap", R.market_cap()).drop("known")
+    expanded = _listed(signals, securities).select("*", "known.*").withColumn("mkt_cap", R.market_cap()).drop("known")
     return expanded.withColumns(R.valuation_columns(options.roe_denominator))
 
 

@@ -95,3 +95,14 @@ def test_symbol_on_the_bar_wins(spark):
     facts = spark.createDataFrame([instant("2023-12-31", "2024-01-02", 5.0, "equity",
                                            cik="0000000001")], FACTS)
     assert build_matrix(bars, facts, meta).first().ticker == "OLD"
+
+
+def test_registry_columns_join_behind_the_windows(spark):
+    """The bars' shuffle and windows carry no symbol, company, sector or industry."""
+    prices = spark.createDataFrame([], "permaTicker string, p_date date, close double, adjClose double, volume double, adjVolume double")
+    facts = spark.createDataFrame([], FACTS)
+    meta = spark.createDataFrame([], "permaTicker string, ticker string, cik string, sector string, industry string")
+    frame = build_matrix(prices, facts, meta, EngineOptions(unique_bars=True))
+    plan = frame._jdf.queryExecution().analyzed().toString().split("\n")
+    first = {word: next(i for i, line in enumerate(plan) if word in line) for word in ("Join Inner", "Window [")}
+    assert first["Join Inner"] < first["Window ["]
