@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import xxhash
@@ -35,6 +37,23 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch of whole texts: JVM and Python hold several copies of each batch at once.
+TEXT_ROWS = 1_000
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextlib.contextmanager
+def text_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> Iterator[None]:
+    """Jobs run inside hand texts to Python in batches of ``rows`` rows at most; the setting is put back after."""
+    before = spark.conf.get(_ARROW_ROWS)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(_ARROW_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_ARROW_ROWS, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from knownby.llm.common import SPACES, store
+from knownby.llm.common import SPACES, store, text_batches
 
 #: Distinct keys a bucket holds before it splits.
 CAPACITY = 32_768
@@ -126,7 +126,8 @@ def build_index(docs: DataFrame, directory: Directory) -> DataFrame:
     by_key = "row_number() OVER (PARTITION BY bucket, key ORDER BY keep_id, sha) - 1"
     chained = owned.select("bucket", "key", "sha", "keep_id", "group_size") \
         .withColumn("place", F.expr(by_key))
-    return store(chained.sortWithinPartitions("bucket", "key", "place"), "hash-index")
+    with text_batches(docs.sparkSession):  # the fold needs no large batches: the owners fold what is left
+        return store(chained.sortWithinPartitions("bucket", "key", "place"), "hash-index")
 
 
 def exact_groups(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = KEY_BITS) -> DataFrame:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from knownby.llm.common import utf8
+from knownby.llm.common import TEXT_ROWS, text_batches, utf8
 
 LEX, SHAPES, DIM, NONZERO, REACH = 8_192, 4_096, 32, 4, 2
 BINS = LEX + SHAPES
@@ -104,8 +104,9 @@ def _context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """Unit context vector of every bin, from all documents: a table of BINS rows whatever their number."""
     schema = "bin long, " + ", ".join(f"v{i} long" for i in range(DIM))
-    sums = docs.select("text").mapInArrow(_context_sums, schema).groupBy("bin").agg(
-        *(F.sum(f"v{i}").alias(f"v{i}") for i in range(DIM))).toPandas()
+    with text_batches(docs.sparkSession):
+        sums = docs.select("text").mapInArrow(_context_sums, schema).groupBy("bin").agg(
+            *(F.sum(f"v{i}").alias(f"v{i}") for i in range(DIM))).toPandas()
     out = np.zeros((BINS, DIM), np.float32)
     values = sums.drop(columns="bin").to_numpy(np.float64)
     out[sums["bin"].to_numpy(np.int64)] = values / np.maximum(np.linalg.norm(values, axis=1, keepdims=True), 1e-9)
@@ -190,8 +191,10 @@ class QualityModel:
     vectors: np.ndarray
     network: Network
 
-    def scores(self, texts: list[str | None], bins: Bins) -> np.ndarray:
-        return self.network.probability(pooled(texts, self.vectors, bins))
+    def scores(self, texts: pa.Array, bins: Bins) -> np.ndarray:
+        """Scores of a batch's texts, of which some at a time become Python strings."""
+        parts = (texts.slice(i, TEXT_ROWS).to_pylist() for i in range(0, len(texts), TEXT_ROWS))
+        return np.concatenate([np.zeros(0), *(self.network.probability(pooled(p, self.vectors, bins)) for p in parts)])
 
 
 def held_out(doc_id="doc_id"):
@@ -215,8 +218,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityMo
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["quality"], pa.array(list(x), pa.list_(pa.float32()))],
                                              ["doc_id", "quality", "x"])
 
-    got = rows.select("doc_id", F.col("quality").cast("int").alias("quality"), "text") \
-        .mapInArrow(features, "doc_id long, quality int, x array<float>").toPandas()
+    with text_batches(docs.sparkSession):
+        got = rows.select("doc_id", F.col("quality").cast("int").alias("quality"), "text") \
+            .mapInArrow(features, "doc_id long, quality int, x array<float>").toPandas()
     got["order"] = [xxhash.xxh3_64_intdigest(str(i)) for i in got["doc_id"]]
     got["first"] = [tuple(x[:4]) for x in got["x"]]  # a fixed order also among repeated rows
     got = got.sort_values(["order", "first"])
@@ -231,7 +235,7 @@ def quality_scores(docs: DataFrame, model: QualityModel, threshold: float = THRE
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = Bins()
         for batch in batches:
-            s = shared.value.scores(batch["text"].to_pylist(), bins)
+            s = shared.value.scores(batch["text"], bins)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array(s, pa.float64()),
                                               pa.array((s >= threshold).astype(np.int32))],
                                              ["doc_id", "held_out", "score", "predicted"])
@@ -247,6 +251,6 @@ def keep_good(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = Bins()
         for batch in batches:
-            yield batch.filter(pa.array(shared.value.scores(batch["text"].to_pylist(), bins) >= threshold))
+            yield batch.filter(pa.array(shared.value.scores(batch["text"], bins) >= threshold))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -10,11 +10,12 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from knownby.llm import ann, bpe, exact_dedup, langid, licenses, lmscore, mixing, near_dedup, quality, secrets
+from knownby.llm import ann, bpe, common, exact_dedup, langid, licenses, lmscore, mixing, near_dedup, quality, secrets
 from knownby.llm.components import connected_components
 from tests.llm.fixtures import DOCS, rows
 
@@ -402,3 +403,24 @@ def test_hilbert_neighbours_touch():
     keys = ann.hilbert_keys(cells, 3)
     steps = np.abs(np.diff(cells[np.argsort(keys)], axis=0)).sum(axis=1)
     assert len(set(keys)) == 512 and (steps == 1).all()
+
+
+def test_text_batches_bounds_a_batch_and_puts_the_setting_back(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    with common.text_batches(spark, 100):
+        got = [r["n"] for r in spark.range(0, 950, 1, 1).mapInArrow(sizes, "n long").collect()]
+    assert max(got) == 100 and sum(got) == 950 and spark.conf.get(key) == before
+
+
+def test_exact_index_reads_small_batches(spark, docs, monkeypatch):
+    seen = []
+    monkeypatch.setattr(exact_dedup, "store", lambda df, purpose: seen.append(
+        (purpose, df.sparkSession.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))) or common.store(df, purpose))
+    exact_dedup.exact_groups(docs).collect()
+    assert ("hash-index", str(common.TEXT_ROWS)) in seen
