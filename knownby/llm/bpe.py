@@ -32,10 +32,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from knownby.llm.common import small_batches
+
 #: Characters of a block; one longer text is a block of its own.
 BLOCK_CHARS = 16_000_000
-#: Words an owner remembers at once, and the most owners (their number fits two bytes).
-MEMORY_WORDS, MAX_SHARDS = 2_000_000, 65_535
+#: Words an owner remembers at once (about 250 bytes each), and the most owners (their number fits two bytes).
+MEMORY_WORDS, MAX_SHARDS = 300_000, 65_535
+#: Ids of a batch that leaves the assembly; one longer document is a batch of its own.
+BATCH_IDS = 500_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -78,32 +82,50 @@ def _ids_from_bytes(raw: bytes) -> pa.ChunkedArray:
         return reader.read_all()["doc_id"]
 
 
+class _Block:
+    """Documents as numbers of their words; texts are not kept."""
+
+    def __init__(self):
+        self.numbers: dict[str, int] = {}
+        self.doc_ids: list[int | None] = []
+        self.codes: list[np.ndarray] = []
+        self.chars = 0
+
+    def add(self, doc_id: int | None, text: str, split) -> None:
+        words, numbers = split(text), self.numbers
+        self.codes.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.uint32, len(words)))
+        self.doc_ids.append(doc_id)
+        self.chars += len(text)
+
+    def packed(self, shards: int, id_type: pa.DataType) -> pa.RecordBatch:
+        distinct = [w.encode("utf-8", "surrogatepass") for w in self.numbers]
+        owner = np.fromiter((xxhash.xxh3_64_intdigest(w) % shards for w in distinct), np.uint16, len(distinct))
+        words = _press(owner, _press_words(distinct))
+        # Equal bytes of the numbers lie side by side: the upper ones are nearly constant.
+        planes = np.concatenate(self.codes).view(np.uint8).reshape(-1, 4).T
+        docs = _press(_ids_to_bytes(pa.array(self.doc_ids, id_type)), np.array([len(c) for c in self.codes], np.uint32), planes, owner)
+        block = hashlib.blake2b(words + docs, digest_size=12).digest()
+        return pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (block, words, docs)], ["block", "words", "docs"])
+
+
 def _blocks(pattern: str, block_chars: int, shards: int):
-    """Arrow batches to blocks: a row with its distinct words and with its documents' word numbers."""
+    """Arrow batches to blocks: a row with its distinct words and with its documents' word numbers.
+
+    A block runs over as many batches as it takes, so its size does not depend on theirs.
+    """
     split = regex.compile(pattern).findall
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, id_type = _Block(), pa.int64()
         for batch in batches:
-            texts, start = batch["text"].to_pylist(), 0
-            while start < len(texts):
-                numbers: dict[str, int] = {}
-                number = lambda w: numbers.setdefault(w, len(numbers))
-                codes, chars, stop = [], 0, start
-                while stop < len(texts) and (stop == start or chars + len(texts[stop] or "") <= block_chars):
-                    words = split(texts[stop] or "")
-                    codes.append(np.fromiter(map(number, words), np.uint32, len(words)))
-                    chars += len(texts[stop] or "")
-                    stop += 1
-                distinct = [w.encode("utf-8", "surrogatepass") for w in numbers]
-                owner = np.fromiter((xxhash.xxh3_64_intdigest(w) % shards for w in distinct), np.uint16, len(distinct))
-                words = _press(owner, _press_words(distinct))
-                # Equal bytes of the numbers lie side by side: the upper ones are nearly constant.
-                planes = np.concatenate(codes).view(np.uint8).reshape(-1, 4).T
-                docs = _press(_ids_to_bytes(batch["doc_id"].slice(start, stop - start)),
-                              np.array([len(c) for c in codes], np.uint32), planes, owner)
-                block = hashlib.blake2b(words + docs, digest_size=12).digest()
-                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (block, words, docs)], ["block", "words", "docs"])
-                start = stop
+            id_type = batch["doc_id"].type
+            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
+                if block.codes and block.chars + len(text or "") > block_chars:
+                    yield block.packed(shards, id_type)
+                    block = _Block()
+                block.add(doc_id, text or "", split)
+        if block.codes:
+            yield block.packed(shards, id_type)
 
     return cut
 
@@ -175,7 +197,14 @@ def _assemble(key: tuple, docs: pa.Table, words: pa.Table) -> pa.Table:
         flat, codes = np.concatenate(flats), _from_planes(planes, np.uint32)
         ends = np.concatenate([[0], np.cumsum(np.frombuffer(counts, np.uint32), dtype=np.int64)])
         out_ids += _ids_from_bytes(doc_ids).cast(pa.int64()).chunks
-        out_lists.append(pa.array([_take(flat, starts, sizes, codes[i:j]) for i, j in zip(ends[:-1], ends[1:])], pa.list_(pa.int32())))
+        lists, held = [], 0
+        for i, j in zip(ends[:-1], ends[1:]):
+            lists.append(_take(flat, starts, sizes, codes[i:j]))
+            held += len(lists[-1])
+            if held >= BATCH_IDS:
+                out_lists.append(pa.array(lists, pa.list_(pa.int32())))
+                lists, held = [], 0
+        out_lists.append(pa.array(lists, pa.list_(pa.int32())))
     return pa.table([pa.chunked_array(out_ids, pa.int64()), pa.chunked_array(out_lists)], names=["doc_id", "ids"])
 
 
@@ -192,6 +221,7 @@ def _take(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, codes: np.nda
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id and ids of every document."""
     spark = docs.sparkSession
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(ranks)  # the vocabulary file
     shards = min(MAX_SHARDS, max(64, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     # The exchange by block is planned once and feeds both the words and the assembly.
@@ -213,6 +243,7 @@ def token_bytes(ranks: dict[bytes, int]) -> list[bytes]:
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """doc_id, ids and the bytes they stand for."""
+    small_batches(encoded.sparkSession)
     shared = encoded.sparkSession.sparkContext.broadcast(token_bytes(ranks))  # one entry for each token
 
     def join_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

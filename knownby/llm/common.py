@@ -40,6 +40,20 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
 #: Rows of an Arrow batch of whole texts: JVM and Python hold several copies of each batch at once.
 TEXT_ROWS = 1_000
 _ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Bytes of an Arrow batch of texts or ids; one longer row is a batch of its own.
+BATCH_BYTES = 4_000_000
+_ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session hands rows to Python in batches of about ``BATCH_BYTES``.
+
+    Operators that return a plan over Python call it. Spark reads the setting when the caller runs the plan, so it is
+    not put back; a smaller one stays.
+    """
+    before = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_ARROW_BYTES))
+    if not 0 < before <= BATCH_BYTES:
+        spark.conf.set(_ARROW_BYTES, str(BATCH_BYTES))
 
 
 @contextlib.contextmanager
