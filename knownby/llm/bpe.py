@@ -7,7 +7,7 @@
   block for one owner. Owners encode every distinct word once and hand its ids to all blocks that hold it; a
   word as common as may be comes once from each block.
 * Ids return to their block, where each document is put together by position.
-* Decoding joins ids with the table of token bytes, which is as large as the vocabulary and no larger.
+* Decoding looks ids up in the table of token bytes, which is as large as the vocabulary and no larger.
 
 A block's name is a digest of its content. Were a lost task rerun in another order, words and positions would
 not meet and the job would stop instead of mixing them up.
@@ -242,19 +242,14 @@ def token_bytes(ranks: dict[bytes, int]) -> list[bytes]:
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """doc_id, ids and the bytes they stand for."""
-    small_batches(encoded.sparkSession)
-    shared = encoded.sparkSession.sparkContext.broadcast(token_bytes(ranks))  # one entry for each token
+    """doc_id, ids and the bytes they stand for.
 
-    def join_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = shared.value.__getitem__
-        for batch in batches:
-            lists = batch["ids"]
-            ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-            texts = [b"".join(map(of, flat[a:b].tolist())) for a, b in zip(ends[:-1], ends[1:])]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], lists, pa.array(texts, pa.binary())], ["doc_id", "ids", "bytes"])
-
-    return encoded.select("doc_id", "ids").mapInArrow(join_bytes, "doc_id long, ids array<int>, bytes binary")
+    Tokens are looked up in Spark, in an array as large as the vocabulary: a Python worker here would stand beside
+    the assembly's in each task, and both stay for as long as the session uses Python.
+    """
+    tokens = F.split(F.lit(",".join(t.hex() for t in token_bytes(ranks))), ",")  # folded to a constant
+    spelled = F.array_join(F.transform("ids", lambda i: F.get(tokens, i)), "")
+    return encoded.select("doc_id", "ids", F.unhex(F.coalesce(spelled, F.lit(""))).alias("bytes"))
 
 
 def with_digests(decoded: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import pyarrow as pa
 import public_tokenizers
 import pytest
 
-from knownby.llm import bpe, common
+from knownby.llm import bpe, common, quality
 
 RANKS = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
@@ -43,6 +43,16 @@ def test_assembled_ids_leave_in_bounded_batches(monkeypatch):
     assert len(sizes) > 5 and max(sizes) < 60
 
 
+def test_decoding_needs_no_python_worker(spark):
+    rows = [(1, [65, 300, 65], None), (2, [], None), (3, [49_999], None), (None, None, None)]
+    ids = spark.createDataFrame(rows, "doc_id long, ids array<int>, more string")
+    decoded = bpe.decode(ids, RANKS)
+    tokens = {rank: token for token, rank in RANKS.items()}
+    assert {r["doc_id"]: r["bytes"] for r in decoded.collect()} == {
+        i: b"".join(tokens.get(x, b"") for x in found or []) for i, found, _ in rows}
+    assert "Arrow" not in decoded._jdf.queryExecution().executedPlan().toString()
+
+
 def test_python_gets_small_batches(spark, arrow_bytes):
     docs = spark.createDataFrame([(i, "x" * 1_000_000) for i in range(8)], "doc_id long, text string").coalesce(1)
     seen = bpe.decode(bpe.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS)
@@ -50,3 +60,11 @@ def test_python_gets_small_batches(spark, arrow_bytes):
     assert seen.count() == 8
     sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches), "n long")
     assert max(r["n"] for r in sizes.collect()) < 2 * common.BATCH_BYTES
+
+
+@pytest.mark.parametrize("plan", [quality.keep_good, quality.quality_scores])
+def test_quality_plans_get_small_batches(spark, arrow_bytes, plan):
+    model = quality.QualityModel(quality.np.zeros((quality.BINS, quality.DIM)), quality._constant(0.5))
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    assert plan(docs, model).count() == 1
+    assert arrow_bytes() == common.BATCH_BYTES
