@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from knownby.llm.common import TEXT_ROWS, text_batches, utf8
+from knownby.llm.common import TEXT_ROWS, small_batches, text_batches, utf8
 
 LEX, SHAPES, DIM, NONZERO, REACH = 8_192, 4_096, 32, 4, 2
 BINS = LEX + SHAPES
@@ -230,6 +230,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityMo
 
 def quality_scores(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BINS x DIM floats
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,6 +247,7 @@ def quality_scores(docs: DataFrame, model: QualityModel, threshold: float = THRE
 
 def keep_good(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
     """The documents the model does not reject, with all their columns."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
