@@ -18,6 +18,9 @@ length) after shifting the prefix rows by -1, 0, +1 in position and length, kept
 Levenshtein distance with a bound of 1. The global order is computed over all words and is small by
 construction: at most 90 * 90 bigrams over the 90 code points that can occur, so it is broadcast.
 
+Joins on words are sort-merge by hint. Spark sizes a stored table by its compressed file and an explode by its input,
+so left alone it sends the nine-fold prefix rows, gigabytes, through the driver as a broadcast.
+
 A word's form is its near word of largest count (ties: smallest in code-point order) when that count is at
 least ``ratio`` times its own; roots follow forms to the end. Counts grow strictly along a chain, so chains are
 short (log base ``ratio`` of the largest count) and acyclic; each step is one join, written to the shared folder.
@@ -129,7 +132,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
         .select("b", "gram", (F.col("pos") + F.col("s.dp")).alias("pos"), (F.col("len") + F.col("s.dl")).alias("len"), "b_last")
     piv = marked.where("role = 'piv'").select(F.col("word").alias("a"), "gram", "pos", "len", F.col("last").alias("a_last"))
     # the lemma needs one direction only: pivots of the word whose prefix ends first in the order
-    candidates = piv.join(pre, ["gram", "pos", "len"]).where((F.col("a") != F.col("b")) & (F.col("a_last") <= F.col("b_last"))) \
+    candidates = piv.join(pre.hint("merge"), ["gram", "pos", "len"]).where((F.col("a") != F.col("b")) & (F.col("a_last") <= F.col("b_last"))) \
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     near = candidates.where(F.levenshtein("a", "b", 1) == 1)
     return near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -139,7 +142,7 @@ def variants(docs: DataFrame, ratio: int = RATIO, min_length: int = MIN_LENGTH,
              min_count: int = MIN_COUNT) -> DataFrame:
     """word, form, root (string), n, n_near, form_n (long) for every counted word."""
     words = store(word_counts(docs, min_length, min_count), "variant-words")
-    pairs = near_pairs(words).join(words.select(F.col("word").alias("b"), F.col("n").alias("b_n")), "b")
+    pairs = near_pairs(words).join(words.select(F.col("word").alias("b"), F.col("n").alias("b_n")).hint("merge"), "b")
     best = pairs.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("b_n"), "b"))) \
         .withColumn("n_near", F.count("*").over(Window.partitionBy("a"))).where("r = 1") \
         .select(F.col("a").alias("word"), "n_near", F.col("b").alias("top"), F.col("b_n").alias("top_n"))
@@ -148,7 +151,8 @@ def variants(docs: DataFrame, ratio: int = RATIO, min_length: int = MIN_LENGTH,
         F.when(F.col("top_n") >= F.col("n") * ratio, F.col("top")).alias("form"),
         F.when(F.col("top_n") >= F.col("n") * ratio, F.col("top_n")).alias("form_n"))
     formed = store(formed, "variant-forms")
-    steps = formed.select(F.col("word").alias("root"), F.col("form").alias("next")).where("next IS NOT NULL")
+    steps = formed.select(F.col("word").alias("root"), F.col("form").alias("next")).where("next IS NOT NULL") \
+        .hint("merge")
     rooted = formed.withColumn("root", F.coalesce("form", "word"))
     while True:
         moved = rooted.join(steps, "root", "left")

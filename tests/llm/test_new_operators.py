@@ -217,6 +217,21 @@ def test_variants_equal_brute_force(spark, docs):
     assert any(f is not None for _, f, *_ in want) and any(root != w for w, _, root, *_ in want)
 
 
+def test_stored_words_are_never_broadcast(spark, monkeypatch):
+    # a stored table is sized by its compressed file, the shifted prefix rows by their input: both far too low
+    plans = []
+
+    def planned(df, purpose):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, purpose)
+
+    monkeypatch.setattr(variants, "store", planned)
+    table = spark.createDataFrame(variant_rows(), "doc_id long, text string")
+    assert variants.variants(table).count() > 0
+    assert any("SortMergeJoin" in plan for plan in plans)
+    assert not any("Broadcast" in plan for plan in plans)
+
+
 def test_pivots_are_disjoint_and_cheapest():
     grams = [(5, "ab", 0), (1, "bc", 1), (1, "cd", 2), (9, "de", 3), (2, "ef", 4)]
     chosen = variants.choose_pivots(grams)
