@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +27,28 @@ def build_session(app: str = "knownby", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+#: A query's shuffle files go when it ends, not when the driver next collects its garbage; both sides of a join
+#: may stay dealt out by some of its keys.
+_LITTLE_DISK = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+                "spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
+
+@contextlib.contextmanager
+def little_disk(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside shuffle less and keep no shuffle files; the settings are put back after."""
+    before = {key: spark.conf.get(key, None) for key in _LITTLE_DISK}
+    for key, value in _LITTLE_DISK.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 WORK_FOLDER = "spark.knownby.workDir"
 
 

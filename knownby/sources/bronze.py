@@ -5,6 +5,8 @@ A reader returns the good rows and a quarantine of (file, reason); one bad file
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,15 +21,24 @@ _SECURITY_FILE = r"([^/=]*)[.]csv(/|$)"
 _END = "\u0003"  # no text of a price file: the control character "end of text"
 
 
-def pack(lines: DataFrame, path: str, header: str | None = None) -> None:
-    """Land many small files packed: lines(file, line) become one JSON record (file, value) for each file.
+def packed_files(lines: DataFrame, header: str | None = None, within: Sequence[str] = ()) -> DataFrame:
+    """lines(file, line) as one row (file, value) for each file: its lines sorted, below ``header``.
 
-    A landing of one file per security or company costs a folder entry, a commit and an open each; packs hold
-    the same texts under the same names in a few splittable files. Lines of a file are sorted, below ``header``.
+    ``within`` names columns that are the same in all lines of a file; lines dealt out by them do not move again.
     """
     body = F.sort_array(F.collect_list("line"))
     listed = body if header is None else F.concat(F.array(F.lit(header)), body)
-    lines.groupBy("file").agg(F.array_join(listed, "\n").alias("value")).write.json(path)
+    return lines.groupBy(*within, "file").agg(F.array_join(listed, "\n").alias("value")).select("file", "value")
+
+
+def pack(lines: DataFrame, path: str, header: str | None = None, within: Sequence[str] = (),
+         compression: str = "none") -> None:
+    """Land many small files packed: lines(file, line) become one JSON record (file, value) for each file.
+
+    A landing of one file per security or company costs a folder entry, a commit and an open each; packs hold
+    the same texts under the same names in a few files, which split unless compressed. See ``packed_files``.
+    """
+    packed_files(lines, header, within).write.option("compression", compression).json(path)
 
 
 def _whole_files(spark: SparkSession, path: str, pattern: str, packed: bool = False) -> DataFrame:
@@ -81,7 +92,7 @@ def _line(text: Column) -> Column:
 
 
 def read_prices(spark: SparkSession, path: str, max_columns: int = 40,
-                packed: bool = False) -> tuple[DataFrame, DataFrame]:
+                packed: bool = False, verdicts: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Price files, loose or ``packed`` (see ``pack``), to (prices, quarantine).
 
     Columns are found by name in each file's own header, so order may differ and unnamed or extra
@@ -90,7 +101,8 @@ def read_prices(spark: SparkSession, path: str, max_columns: int = 40,
     without a required column, with a line of more or fewer cells than the header (an open quote too), with a bar
     without a readable date, or with text where a number belongs. Positions are worked out once per
     file. Spoilt files are found by their own pass over the landing, so the good path shuffles
-    files at most, none of its rows.
+    files at most, none of its rows. ``verdicts`` names a folder to store the spoilt files in first; where they are
+    few, they are then sent to the files, which do not move either.
     """
     columns = max_columns + 1
     marked = F.startswith("value", F.lit("\uFEFF"))
@@ -129,6 +141,10 @@ def read_prices(spark: SparkSession, path: str, max_columns: int = 40,
     fault = F.when(~F.col("_whole"), 0).when(C.parse_day(F.col("date")).isNull(), 1).when(~numeric, 2)
     # The verdict of a file is an aggregate without a filter before it, which would parse every line again.
     spoilt = bars_of(whole).groupBy("file").agg(F.min(fault).alias("fault")).where(F.col("fault").isNotNull())
+    if verdicts is not None:
+        schema = spoilt.schema
+        spoilt.write.option("compression", "none").parquet(verdicts)  # plain, as Spark sizes them by their bytes
+        spoilt = spark.read.schema(schema).parquet(verdicts)
     prices = (
         bars_of(whole.join(spoilt.select("file"), "file", "left_anti"))  # files move, not their bars
         .select("date", *[F.col(c).try_cast("double").alias(c) for c in PRICE_VALUES],

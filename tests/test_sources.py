@@ -1,13 +1,15 @@
 from __future__ import annotations
 
+import datetime as dt
 import json
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from knownby.contract import inputs
 from knownby.contract import queries as contract_queries
-from knownby.session import work_folder
+from knownby.session import little_disk, work_folder
 from knownby.sources import bronze, sinks
 from knownby.streaming import incremental
 
@@ -137,6 +139,66 @@ def test_packs_hold_many_files_in_few(spark):
     assert bronze.read_prices(spark, path, packed=True)[0].select("permaTicker").distinct().count() == 500
 
 
+def _bar_tables(path):
+    """Three securities, one of them listed twice, one bar repeated and one without a security."""
+    def put(name, columns):
+        pq.write_table(pa.table(columns), path / f"{name}.parquet")
+
+    key = [1, 1, 1, 2, 2, 7, None, 9]
+    day = [dt.datetime(2020, 1, d) for d in (2, 2, 3, 2, 3, 2, 2, 2)]
+    put("lineitem", {"l_suppkey": pa.array(key, pa.int64()), "l_shipdate": pa.array(day, pa.timestamp("us")),
+                     "l_extendedprice": [10.0, 10.0, 12.0, 9.0, None, 3.0, 4.0, 5.0], "l_quantity": [2.0] * 8,
+                     "l_discount": [0.5] * 8, "l_tax": [0.0, 0.08, 0.0, 0.0, 0.0, 0.08, 0.0, 0.0], "l_returnflag": ["A"] * 8})
+    put("supplier", {"s_suppkey": pa.array([1, 2, 7, 7, None], pa.int64()), "s_nationkey": pa.array([0] * 5, pa.int32())})
+    put("nation", {"n_nationkey": pa.array([0], pa.int32()), "n_regionkey": pa.array([0], pa.int32()), "n_name": ["N"]})
+    put("region", {"r_regionkey": pa.array([0], pa.int32()), "r_name": ["R"]})
+    return str(path)
+
+
+def test_price_landing_takes_little_disk(spark, tmp_path, monkeypatch):
+    tables, landing = _bar_tables(tmp_path), work_folder(spark, "landing")
+    plans, files = [], bronze.packed_files
+
+    def planned(*args):
+        packed = files(*args)
+        plans.append(packed._jdf.queryExecution().executedPlan().toString())
+        return packed
+
+    monkeypatch.setattr(bronze, "packed_files", planned)
+    small = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(small)
+    spark.conf.set(small, "-1")  # as for large tables
+    try:
+        contract_queries._land_prices(spark, tables, landing)
+    finally:
+        spark.conf.set(small, before)
+    assert plans[0].count("Exchange hashpartitioning(") == 9  # two folds, two for their join, five for the listings; no lines
+    assert all(f.endswith(".json.gz") for f in spark.read.text(landing).inputFiles())
+    prices, bad = bronze.read_prices(spark, landing, packed=True, verdicts=work_folder(spark, "verdicts"))
+    got = sorted((r.permaTicker, r.ticker, r.date[:10], r.close, r.splitFactor) for r in prices.collect())
+    assert got == sorted([("P000001", "T1", "2020-01-02", 5.0, 2.0), ("P000001", "T1", "2020-01-03", 6.0, 1.0),
+                          ("P000002", "T2", "2020-01-02", 4.5, 1.0), ("P000002", "T2", "2020-01-03", None, 1.0),
+                          *[("P000007", "T7-P", "2020-01-02", 1.5, 2.0)] * 2])
+    assert bad.count() == 0
+
+
+def test_few_spoilt_files_leave_the_others_where_they_are(spark):
+    path = _packed(spark, [(f"P{i}_T.csv", ROW.replace("1000", "oops") if i == 3 else ROW) for i in range(50)])
+    lazy, bad = bronze.read_prices(spark, path, packed=True)
+    stored, found = bronze.read_prices(spark, path, packed=True, verdicts=work_folder(spark, "verdicts"))
+    assert sorted(stored.collect()) == sorted(lazy.collect()) and stored.count() == 49
+    assert [(r.file, r.reason) for r in found.collect()] == [(r.file, r.reason) for r in bad.collect()]
+    assert "hashpartitioning" not in stored._jdf.queryExecution().executedPlan().toString()
+
+
+def test_landing_settings_are_put_back(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    with little_disk(spark):
+        assert spark.conf.get(key) == "true"
+    assert spark.conf.get(key, None) == before
+
+
 def test_packed_documents(spark):
     path = work_folder(spark, "pack")
     bronze.pack(spark.createDataFrame([("cik=1", '{"cik":"1","sic":"100"}'), ("cik=2", '{"cik":"2"')],
